@@ -158,6 +158,35 @@ def rolling_ctes(source: str, keys: Sequence[str], order: str, col: str, window:
   {std} as {col}_rolling_std, abs({col} - ({mean})) as {col}_dev_from_mean from {source})"""
 
 
+def _expected(c: str) -> str:
+    return (f"case when {c} > 2 then 2.0 * (ln({c} - 1.0::double) + 0.5772156649015329::double)"
+            f" - 2.0 * ({c} - 1.0::double) / {c} when {c} = 2 then 1.0 else 0.0 end")
+
+
+def _feature_case(n: int, column: str) -> str:
+    return "case feature " + " ".join(f"when {i} then {column}{i}" for i in range(n)) + " end"
+
+
+def _step(n: int, rows: str, trees: str) -> str:
+    """Rows of an inner node to its children."""
+    xs = ", ".join(f"a.x{i}" for i in range(n))
+    return f"""select a.rid, a.model, a.tree, {xs}, 2 * a.node + 1 + ({_feature_case(n, 'x')} > threshold)::int as node
+  from {rows} a join {trees} t on a.model = t.model and a.tree = t.tree and a.node = t.node where feature is not null"""
+
+
+def _scored(rows: str, fitted: str, out: str, trees: int, depth: int) -> str:
+    """Scores from the leaves that the rows of each level end in."""
+    leaves = " union all ".join(
+        f"""select a.rid, a.model, a.tree, {lv} + {_expected('t.n')} as path from {rows}{lv} a
+  join {fitted}_t{lv} t on a.model = t.model and a.tree = t.tree and a.node = t.node where feature is null"""
+        for lv in range(depth + 1))
+    sums = " + ".join(f"max(path) filter (tree = {t})" for t in range(trees))
+    return f"""{out}_leaves as ({leaves}),
+{out}_scored as (select rid, model, case when ({_expected('total')}) > 0
+  then pow(2.0::double, -(h / {trees} / ({_expected('total')}))) else 0.5 end as score
+  from (select rid, model, {sums} as h from {out}_leaves group by rid, model) join {fitted}_cap using (model))"""
+
+
 def forest_ctes(
     source: str, features: Sequence[str], model: str, trees: int, depth: int, seed: int = 42, out: str = "fo"
 ) -> str:
@@ -175,14 +204,6 @@ def forest_ctes(
     pick = "case " + " ".join(
         f"when hi{i} > lo{i} and floor(u1 * m) < " + " + ".join(f"(hi{j} > lo{j})::int" for j in range(i + 1)) + f" then {i}"
         for i in range(n)) + " end"
-    lo = "case feature " + " ".join(f"when {i} then lo{i}" for i in range(n)) + " end"
-    hi = "case feature " + " ".join(f"when {i} then hi{i}" for i in range(n)) + " end"
-    x = "case feature " + " ".join(f"when {i} then x{i}" for i in range(n)) + " end"
-
-    def expected(c: str) -> str:
-        return (f"case when {c} > 2 then 2.0 * (ln({c} - 1.0::double) + 0.5772156649015329::double)"
-                f" - 2.0 * ({c} - 1.0::double) / {c} when {c} = 2 then 1.0 else 0.0 end")
-
     parts = [
         f"{out}_x as materialized (select rid, {model} as model, {xs} from {source})",
         f"""{out}_cap as (select model, count(*) as total, case when count(*) > 1
@@ -191,31 +212,33 @@ def forest_ctes(
     ]
     for level in range(depth + 1):
         split = f"n > 1 and m > 0 and {level} < cap"
-        parts.append(f"""{out}_d{level} as materialized (select *, {lo} as lo, {hi} as hi from (
-  select *, case when {split} then {pick} end as feature from (
+        parts.append(f"""{out}_d{level} as materialized (select *, {_feature_case(n, 'lo')} as lo, {_feature_case(n, 'hi')} as hi
+  from (select *, case when {split} then {pick} end as feature from (
   select *, {u1} as u1, {u2} as u2, {varying} as m from (
   select model, tree, node, count(*) as n, {ranges} from {out}_a{level} group by model, tree, node)
   join {out}_cap using (model))))""")
         parts.append(f"""{out}_t{level} as (select model, tree, node, n, feature, {level} as level,
   case when lo + u2 * (hi - lo) >= hi then lo else lo + u2 * (hi - lo) end as threshold from {out}_d{level})""")
         if level < depth:
-            parts.append(f"""{out}_a{level + 1} as (select a.rid, a.model, a.tree, {", ".join(f"a.x{i}" for i in range(n))},
-  2 * a.node + 1 + ({x} > threshold)::int as node
-  from {out}_a{level} a join {out}_t{level} t on a.model = t.model and a.tree = t.tree and a.node = t.node
-  where feature is not null)""")
+            parts.append(f"{out}_a{level + 1} as materialized ({_step(n, f'{out}_a{level}', f'{out}_t{level}')})")
     parts.append(f"{out}_nodes as (" + " union all ".join(f"select * from {out}_t{lv}" for lv in range(depth + 1)) + ")")
-    leaves = " union all ".join(
-        f"""select a.rid, a.model, a.tree, {lv} + {expected('t.n')} as path from {out}_a{lv} a
-  join {out}_t{lv} t on a.model = t.model and a.tree = t.tree and a.node = t.node where feature is null"""
-        for lv in range(depth + 1))
-    sums = " + ".join(f"max(path) filter (tree = {t})" for t in range(trees))
-    parts.append(f"{out}_leaves as ({leaves})")
-    parts.append(f"""{out}_scored as (select rid, model, case when ({expected('total')}) > 0
-  then pow(2.0::double, -(h / {trees} / ({expected('total')}))) else 0.5 end as score
-  from (select rid, model, {sums} as h from {out}_leaves group by rid, model) join {out}_cap using (model))""")
+    parts.append(_scored(f"{out}_a", out, out, trees, depth))
     return ",\n".join(parts)
 
 
+def walk_ctes(
+    source: str, features: Sequence[str], model: str, trees: int, depth: int, fitted: str = "fo", out: str = "wa"
+) -> str:
+    """``{out}_scored``: rows of another table scored by the forest that ``forest_ctes`` fitted."""
+    n = len(features)
+    xs = ", ".join(f"cast({f} as double) as x{i}" for i, f in enumerate(features))
+    parts = [f"""{out}_a0 as (select *, 0 as node from (select rid, {model} as model, {xs} from {source}),
+  (select unnest(range(0, {trees})) as tree))"""]
+    for level in range(depth):
+        parts.append(f"{out}_a{level + 1} as materialized ({_step(n, f'{out}_a{level}', f'{fitted}_t{level}')})")
+    return ",\n".join([*parts, _scored(f"{out}_a", fitted, out, trees, depth)])
+
+
 def flag_ctes(scored: str, contamination: float, out: str = "fl") -> str:
     return f"""{out}_cut as (select model, quantile_cont(score, {1.0 - contamination}) as cutoff from {scored} group by model),
 {out} as (select rid, {scored}.model, score, score > cutoff as flagged from {scored} join {out}_cut using (model))"""

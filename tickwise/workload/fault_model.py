@@ -9,7 +9,7 @@ from tickwise.schema import SEQ, TS
 from tickwise.session import settle
 from tickwise.sources import models
 from tickwise.workload.common import (
-    DAY_NS, SAMPLES, START_NS, USER, flag_ctes, forest_ctes, query, r6, samples, scratch, table)
+    DAY_NS, SAMPLES, START_NS, USER, flag_ctes, forest_ctes, query, r6, samples, scratch, table, walk_ctes)
 from tickwise.workload.time_axis import FEATURE_ROWS, NAMES, site_rows
 
 LOW, HIGH = START_NS + 9 * DAY_NS, START_NS + 12 * DAY_NS
@@ -73,12 +73,12 @@ def fault_compose(spark, folder):
     return changed.select("user_id", SEQ, TS, "value", "status")
 
 
-def _interval_sql(source: str) -> str:
+def interval_sql(source: str) -> str:
     return f"""select user_id, trunc(quantile_cont(step::double, 0.5))::bigint as f from (
   select user_id, ts_ns - lag(ts_ns) over (partition by user_id order by seq) as step from {source}) group by user_id"""
 
 
-FAULT_LABELS = f"""{COMPOSED}, i1 as ({_interval_sql('s')}), i3 as ({_interval_sql('f2')}),
+FAULT_LABELS = f"""{COMPOSED}, i1 as ({interval_sql('s')}), i3 as ({interval_sql('f2')}),
 lab as (select user_id, {SPEC[0]['start_ns']} as start_ns, {SPEC[0]['end_ns']} + f as end_ns, 'dropout' as fault_type, 0 as ord from i1
 union all select user_id, {SPEC[1]['start_ns']}, {SPEC[1]['end_ns']}, 'timestamp_jitter', 1 from i1
 union all select user_id, {SPEC[2]['start_ns']} - f, {SPEC[2]['end_ns']} + f, 'clock_step', 2 from i3
@@ -184,7 +184,11 @@ def fit_baseline(spark, folder):
     return forest.fit(known, MEASURES, ["l_returnflag"], SMALL).meta.select("model", "n_train", r6("cutoff"))
 
 
-@query("score_baseline")
+@query("score_baseline", f"""with l0 as materialized (select *, row_number() over () as rid, 'all' as one from lineitem),
+l1 as (select * from l0 where l_returnflag <> 'R'), {forest_ctes('l1', MEASURES, 'one', 3, 3)}, {flag_ctes('fo_scored', 0.05)},
+{walk_ctes('l0', MEASURES, 'one', 3, 3)}
+select l_returnflag, count(*) as n_rows, count(*) filter (score > cutoff) as n_flagged
+from wa_scored join fl_cut using (model) join l0 using (rid) group by 1""")
 def score_baseline(spark, folder):
     """All goods scored by the model fitted on unreturned ones; nothing is refitted."""
     lines = table(spark, folder, "lineitem")
