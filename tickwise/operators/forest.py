@@ -24,15 +24,16 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.functions import isolation as iso
 from tickwise.operators.series import attach, percentile_per_key, split_hot
-from tickwise.session import settle
+from tickwise.session import is_small, settle
 
 LOCAL_ROWS = 200_000
 LOCAL_ROWS_FEW = 20_000
+SPREAD_BELOW = 1_000_000
 NODE_BUDGET = 2_000_000
 MODEL = "model"
 ROW_ID = "_row_id"
@@ -235,17 +236,22 @@ def _local_limit(sizes: DataFrame) -> int:
     return LOCAL_ROWS if middling >= sizes.sparkSession.sparkContext.defaultParallelism else LOCAL_ROWS_FEW
 
 
-def fit_nodes(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (), settings: Settings = Settings()) -> DataFrame:
-    """The node table of one forest per distinct ``keys`` (one forest in all, when there are none)."""
-    features, cfg = list(features), settings
-    spark = df.sparkSession
+def _spread(df: DataFrame, rows: int) -> DataFrame:
+    """Give every core a share of a table too small to have come in enough partitions by itself."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if rows < cores * SPREAD_BELOW else df
+
+
+def _fit(df: DataFrame, features: Sequence[str], keys: Sequence[str], cfg: Settings) -> tuple[list[iso.Trees], DataFrame | None]:
+    """(forests grown over the cluster and held here, node table of those grown in tasks)."""
+    features = list(features)
     named = _prepare(df, features, keys, cfg)
-    lean = named.select(MODEL, *features, *([ROW_ID] if cfg.max_samples < 1.0 else [])).persist()
+    lean = named.select(MODEL, *features, *([ROW_ID] if cfg.max_samples < 1.0 else []))
     sizes = settle(lean.groupBy(MODEL).agg(F.count(F.lit(1)).alias("_n")))
     limit = _local_limit(sizes)
     # At most rows / limit models are big enough to be listed here.
     big = sorted((r[MODEL], r["_n"]) for r in sizes.where(F.col("_n") > limit).collect())
-    tables = []
+    fitting = sizes.where(F.col("_n") <= limit)
 
     def grow_group(rows: pd.DataFrame) -> pd.DataFrame:
         ids = rows[ROW_ID].to_numpy() if cfg.max_samples < 1.0 else None
@@ -254,21 +260,42 @@ def fit_nodes(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (),
             cfg.max_samples)
         return _node_rows(trees)
 
-    fitting = sizes.where(F.col("_n") <= limit)
+    small_nodes = None
     if not fitting.isEmpty():
         small = attach(lean, fitting.drop("_n"), [MODEL]) if big else lean
-        tables.append(settle(small.groupBy(MODEL).applyInPandas(grow_group, NODES_SCHEMA)))
-    for batch in _batches(big, cfg):
-        some = lean.where(F.col(MODEL).isin([name for name, _ in batch]))
-        made = pd.concat([_node_rows(t) for t in _grow_over_cluster(some, features, batch, cfg)])
-        tables.append(settle(spark.createDataFrame(pa.Table.from_pandas(made, NODES_ARROW, preserve_index=False))))
-    lean.unpersist()
-    if not tables:
-        return spark.createDataFrame([], NODES_SCHEMA)
-    nodes = tables[0]
-    for more in tables[1:]:
-        nodes = nodes.unionByName(more)
-    return nodes
+        small_nodes = settle(small.groupBy(MODEL).applyInPandas(grow_group, NODES_SCHEMA))
+    grown, stored = [], []
+    batches = list(_batches(big, cfg))
+    for batch in batches:
+        names = [name for name, _ in batch]
+        mine = lean.where(F.col(MODEL).isin(names)) if small_nodes is not None or len(batches) > 1 else lean
+        held = _spread(mine, sum(n for _, n in batch)).persist()
+        trees = _grow_over_cluster(held, features, batch, cfg)
+        held.unpersist()
+        if len(batches) == 1:
+            grown = trees
+        else:
+            stored.append(settle(_node_table(df.sparkSession, trees)))
+    for more in stored:
+        small_nodes = more if small_nodes is None else small_nodes.unionByName(more)
+    return grown, small_nodes
+
+
+def _node_table(spark: SparkSession, trees: Sequence[iso.Trees]) -> DataFrame:
+    made = pd.concat([_node_rows(t) for t in trees])
+    return spark.createDataFrame(pa.Table.from_pandas(made, NODES_ARROW, preserve_index=False))
+
+
+def fit_nodes(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (), settings: Settings = Settings()) -> DataFrame:
+    """The node table of one forest per distinct ``keys`` (one forest in all, when there are none)."""
+    return _all_nodes(df.sparkSession, *_fit(df, features, keys, settings))
+
+
+def _all_nodes(spark: SparkSession, grown: Sequence[iso.Trees], nodes: DataFrame | None) -> DataFrame:
+    if not grown:
+        return spark.createDataFrame([], NODES_SCHEMA) if nodes is None else nodes
+    made = settle(_node_table(spark, grown))
+    return made if nodes is None else made.unionByName(nodes)
 
 
 def add_scores(df: DataFrame, nodes: DataFrame, features: Sequence[str], n_trees: int, keys: Sequence[str] = ()) -> DataFrame:
@@ -277,37 +304,48 @@ def add_scores(df: DataFrame, nodes: DataFrame, features: Sequence[str], n_trees
     The node table is sent to every task while it is small. Beyond that, rows and nodes meet in a cogroup by model, with
     each big model's rows split over several groups and its nodes copied to them.
     """
-    features = list(features)
-    named = df.withColumn(MODEL, model_name(keys))
-    fields = ", ".join(f"`{n}` {t}" for n, t in named.dtypes)
-    schema = f"{fields}, score double"
-    held = nodes.limit(NODE_BUDGET + 1).count()
-    if held <= NODE_BUDGET:
+    if is_small(nodes, NODE_BUDGET):
         table = nodes.toArrow().to_pandas()
-        trees = {m: _trees_from(part, m, n_trees) for m, part in table.groupby(MODEL)}
-        shared = df.sparkSession.sparkContext.broadcast({
-            m: (t.feature, t.threshold, t.path[:, t.level(t.depth)].copy(), t.rows()) for m, t in trees.items()})
+        trees = [_trees_from(part, m, n_trees) for m, part in table.groupby(MODEL)]
+        return _score_by_broadcast(df, trees, features, n_trees, keys)
+    return _score_by_cogroup(df, nodes, features, n_trees, keys)
 
-        def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            models = list(shared.value)
-            names = {m: i for i, m in enumerate(models)}
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                rows = _matrix(batch, features)
-                score = np.full(len(rows), np.nan)
-                for index, chosen in _per_model(batch, names):
-                    mine = slice(None) if chosen is None else chosen
-                    feature, threshold, leaves, n = shared.value[models[index]]
-                    sums = iso.path_sums(np.ascontiguousarray(rows[mine].T), feature, threshold, leaves)
-                    score[mine] = iso.anomaly_score(sums, n_trees, n)
-                out = pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(score)], names=[*batch.schema.names, "score"])
-                known = ~np.isnan(score)
-                yield out if known.all() else out.filter(pa.array(known))
-
-        return named.mapInArrow(walk, schema).drop(MODEL)
 
+def _score_by_broadcast(
+    df: DataFrame, trees: Sequence[iso.Trees], features: Sequence[str], n_trees: int, keys: Sequence[str]
+) -> DataFrame:
+    features = list(features)
+    named = df.withColumn(MODEL, model_name(keys))
+    fields = ", ".join(f"`{n}` {t}" for n, t in named.dtypes)
+    shared = df.sparkSession.sparkContext.broadcast({
+        t.model: (t.feature, t.threshold, t.path[:, t.level(t.depth)].copy(), t.rows()) for t in trees})
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = list(shared.value)
+        names = {m: i for i, m in enumerate(models)}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = _matrix(batch, features)
+            score = np.full(len(rows), np.nan)
+            for index, chosen in _per_model(batch, names):
+                mine = slice(None) if chosen is None else chosen
+                feature, threshold, leaves, n = shared.value[models[index]]
+                sums = iso.path_sums(np.ascontiguousarray(rows[mine].T), feature, threshold, leaves)
+                score[mine] = iso.anomaly_score(sums, n_trees, n)
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "score"])
+            known = ~np.isnan(score)
+            yield out if known.all() else out.filter(pa.array(known))
+
+    return named.mapInArrow(walk, f"{fields}, score double").drop(MODEL)
+
+
+def _score_by_cogroup(
+    df: DataFrame, nodes: DataFrame, features: Sequence[str], n_trees: int, keys: Sequence[str]
+) -> DataFrame:
+    features = list(features)
+    named = df.withColumn(MODEL, model_name(keys))
+    fields = ", ".join(f"`{n}` {t}" for n, t in named.dtypes)
     sizes = settle(named.groupBy(MODEL).agg(F.ceil(F.count(F.lit(1)) / LOCAL_ROWS).cast("int").alias("_parts")))
     plain = [c for c, t in named.dtypes if not t.startswith("map")]
     spread = attach(named, sizes, [MODEL]).withColumn("_part", F.pmod(F.xxhash64(*plain), F.col("_parts")).cast("int"))
@@ -323,7 +361,17 @@ def add_scores(df: DataFrame, nodes: DataFrame, features: Sequence[str], n_trees
         return left.assign(score=iso.anomaly_score(sums, n_trees, t.rows()))
 
     both = spread.groupBy(MODEL, "_part").cogroup(copies.groupBy(MODEL, "_part"))
-    return both.applyInPandas(walk_group, schema).drop(MODEL)
+    return both.applyInPandas(walk_group, f"{fields}, score double").drop(MODEL)
+
+
+def _score_fitted(
+    df: DataFrame, grown: Sequence[iso.Trees], nodes: DataFrame | None, features: Sequence[str], cfg: Settings,
+    keys: Sequence[str],
+) -> DataFrame:
+    """Scores straight from the forests just grown, without a round trip through the node table where possible."""
+    if nodes is None:
+        return _score_by_broadcast(df, grown, features, cfg.n_estimators, keys)
+    return add_scores(df, _all_nodes(df.sparkSession, grown, nodes), features, cfg.n_estimators, keys)
 
 
 def cutoffs(scored: DataFrame, keys: Sequence[str], contamination: float, *, hot="check") -> DataFrame:
@@ -342,8 +390,9 @@ def flag(scored: DataFrame, limits: DataFrame, keys: Sequence[str]) -> DataFrame
 def fit(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (), settings: Settings = Settings()) -> Forest:
     """Fit once, on rows taken as normal, and fix the cutoff from their own scores."""
     features, keys, cfg = list(features), list(keys), settings
-    nodes = fit_nodes(df, features, keys, cfg)
-    scored = add_scores(df.select(*keys, *features), nodes, features, cfg.n_estimators, keys).persist()
+    grown, few = _fit(df, features, keys, cfg)
+    nodes = _all_nodes(df.sparkSession, grown, few)
+    scored = _score_fitted(df.select(*keys, *features), grown, few, features, cfg, keys).persist()
     limits = settle(cutoffs(scored, keys, cfg.contamination))
     moments = scored.withColumn(MODEL, model_name(keys)).groupBy(MODEL).agg(
         F.count(F.lit(1)).alias("n_train"),
@@ -372,8 +421,8 @@ def detect(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (), set
     features, keys, cfg = list(features), list(keys), settings
 
     def detect_large(rows: DataFrame) -> DataFrame:
-        nodes = fit_nodes(rows, features, keys, cfg)
-        scored = settle(add_scores(rows, nodes, features, cfg.n_estimators, keys))
+        grown, nodes = _fit(rows, features, keys, cfg)
+        scored = settle(_score_fitted(rows, grown, nodes, features, cfg, keys))
         return flag(scored, settle(cutoffs(scored, keys, cfg.contamination)), keys)
 
     if not keys:
