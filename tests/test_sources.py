@@ -104,7 +104,7 @@ def test_bad_archives_are_reported(spark):
     assert {r["path"] for r in archives.unreadable_archives(readings).collect()} == {"no inner", "no csv", "junk"}
     assert archives.split_names(readings).count() == 9
     with pytest.raises(Exception, match="no inner zip"):
-        archives.parse_archives(df, strict=True).collect()
+        archives.parse_archives(df.where("path = 'no inner'"), strict=True).collect()
 
 
 def test_wide_names(spark):

@@ -25,7 +25,7 @@ def duck():
 
 def canonical(df: pd.DataFrame) -> pd.DataFrame:
     def cell(v):
-        if v is None or (np.isscalar(v) and pd.isna(v)):
+        if v is None or v is pd.NA or (np.isscalar(v) and pd.isna(v)):
             return ""
         return f"{round(float(v), 6) + 0.0:.6f}" if isinstance(v, (float, np.floating)) else str(v)
 
