@@ -97,6 +97,18 @@ def node_ranges(rows: np.ndarray, place: np.ndarray, width: int, active: np.ndar
     return found, count, np.minimum.reduceat(values, begin), np.maximum.reduceat(values, begin)
 
 
+def node_counts(place: np.ndarray, width: int, active: np.ndarray):
+    """Count per occupied (tree, place); all that the last level needs."""
+    trees = place.shape[0]
+    ids = (place + (np.arange(trees) * width)[:, None]).ravel() if trees > 1 else place.ravel()
+    if active.shape == place.shape:
+        count = np.bincount(ids[active.ravel()], minlength=trees * width)
+    else:
+        count = np.bincount(ids, minlength=trees * width) * active.ravel()
+    found = np.flatnonzero(count)
+    return found, count[found]
+
+
 class Trees:
     """The growing trees of one model: arrays of shape (trees, nodes)."""
 
@@ -113,7 +125,7 @@ class Trees:
     def level(self, level: int) -> slice:
         return slice(2**level - 1, 2 ** (level + 1) - 1)
 
-    def grow(self, level: int, ids: np.ndarray, count: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+    def grow(self, level: int, ids: np.ndarray, count: np.ndarray, low=None, high=None) -> None:
         """Split the level's nodes from their ranges; what cannot or need not be split becomes a leaf."""
         width = 2**level
         tree, node = ids // width, ids % width + width - 1
@@ -193,7 +205,8 @@ def grow_here(rows: np.ndarray, model: str, n_trees: int, max_depth: int, seed:
             live = some.active[:, some.level(level)]
             if sampled is not None:
                 live = np.take_along_axis(live, place, axis=1) & sampled
-            found = node_ranges(rows, place, 2**level, live)
+            last = level == some.depth
+            found = node_counts(place, 2**level, live) if last else node_ranges(rows, place, 2**level, live)
             if len(found[0]):
                 some.grow(level, *found)
         for name in ("feature", "threshold", "path", "count", "active"):

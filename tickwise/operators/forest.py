@@ -28,12 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.functions import isolation as iso
-from tickwise.operators.series import attach, percentile_per_key, split_hot
+from tickwise.operators.series import CHUNK_ROWS, attach, percentile_per_key, split_hot
 from tickwise.session import is_small, settle
 
 LOCAL_ROWS = 200_000
 LOCAL_ROWS_FEW = 20_000
 SPREAD_BELOW = 1_000_000
+ROWS_PER_TASK = 500_000
 NODE_BUDGET = 2_000_000
 MODEL = "model"
 ROW_ID = "_row_id"
@@ -97,24 +98,51 @@ def _per_model(batch: pa.RecordBatch, names: dict[str, int]) -> Iterator[tuple[i
             yield index, np.flatnonzero(codes == code)
 
 
-def _grow_over_cluster(df: DataFrame, features: list[str], sizes: list[tuple[str, int]], cfg: Settings) -> list[iso.Trees]:
+def _pack(lean: DataFrame, features: list[str], sampled: bool) -> DataFrame:
+    """Rows as blocks of one model's values each, with their count and ranges.
+
+    Every level reads all rows once more; a block crosses to Python as one copy of bytes, not value by value.
+    """
+    width = len(features)
+    ranges = [f"{side}{i}" for i in range(width) for side in ("lo", "hi")]
+    schema = f"{MODEL} string, n long, values binary, ids binary" + "".join(f", {r} double" for r in ranges)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            everything = _matrix(batch, features)
+            ids = batch.column(ROW_ID).to_numpy() if sampled else None
+            coded = batch.column(MODEL).dictionary_encode()
+            codes = coded.indices.to_numpy(zero_copy_only=False)
+            for code, model in enumerate(coded.dictionary.to_pylist()):
+                mine = codes == code
+                rows = everything[mine]
+                low, high = rows.min(axis=0), rows.max(axis=0)
+                columns = [[model], [len(rows)], [rows.tobytes()], [ids[mine].tobytes() if sampled else None]]
+                for i in range(width):
+                    columns += [[low[i]], [high[i]]]
+                types = [pa.string(), pa.int64(), pa.binary(), pa.binary()] + [pa.float64()] * len(ranges)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types)], names=[MODEL, "n", "values", "ids", *ranges])
+
+    return lean.mapInArrow(pack, schema)
+
+
+def _grow_over_cluster(blocks: DataFrame, width: int, sizes: list[tuple[str, int]], cfg: Settings) -> list[iso.Trees]:
     """Grow the forests of a few big models together, one aggregation per level."""
-    context = df.sparkSession.sparkContext
-    n_trees, width = cfg.n_estimators, len(features)
+    context = blocks.sparkSession.sparkContext
+    n_trees = cfg.n_estimators
     grown = [iso.Trees(name, n_trees, iso.depth_cap(n, cfg.max_depth), cfg.seed) for name, n in sizes]
     names = {name: i for i, (name, _) in enumerate(sizes)}
-    schema = "slot long, n long, " + ", ".join(f"lo{i} double, hi{i} double" for i in range(width))
-    merged = [F.sum("n").alias("n")]
-    for i in range(width):
-        merged += [F.min(f"lo{i}").alias(f"lo{i}"), F.max(f"hi{i}").alias(f"hi{i}")]
     sampled = cfg.max_samples < 1.0
 
     def whole_table() -> list:
-        """Level 0 needs no walking: every tree has the same root, so plain SQL aggregates give its range."""
+        """Level 0 needs no walking: every tree has the same root, whose range the blocks already know."""
         ranges = []
-        for i, f in enumerate(features):
-            ranges += [F.min(f).alias(f"lo{i}"), F.max(f).alias(f"hi{i}")]
-        found = df.groupBy(MODEL).agg(F.count(F.lit(1)).alias("n"), *ranges).collect()
+        for i in range(width):
+            ranges += [F.min(f"lo{i}").alias(f"lo{i}"), F.max(f"hi{i}").alias(f"hi{i}")]
+        found = blocks.groupBy(MODEL).agg(F.sum("n").alias("n"), *ranges).collect()
         return sorted((names[r[MODEL]], r) for r in found if r[MODEL] in names)
 
     for level in range(max(t.depth for t in grown) + 1):
@@ -134,19 +162,26 @@ def _grow_over_cluster(df: DataFrame, features: list[str], sizes: list[tuple[str
                 grown[i].active[:, grown[i].level(level)].copy()) for i in growing})
         lookup = {name: i for name, i in names.items() if i in growing}
         dense = {i: k for k, i in enumerate(growing)}
+        # Nodes of the last level are leaves whatever their ranges are, so they only need counting.
+        counting = {i for i in growing if grown[i].depth == level}
+        ranged = width if len(counting) < len(growing) else 0
+        titles = ["slot", "n"] + [f"{side}{i}" for i in range(ranged) for side in ("lo", "hi")]
+        schema = "slot long, n long" + "".join(f", {t} double" for t in titles[2:])
+        merged = [F.sum("n").alias("n")] + [
+            (F.min(t) if t.startswith("lo") else F.max(t)).alias(t) for t in titles[2:]]
 
         def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = len(dense) * n_trees * places
             count = np.zeros(total, dtype=np.int64)
-            low = np.full((total, width), np.inf)
-            high = np.full((total, width), -np.inf)
+            low = np.full((total, ranged), np.inf)
+            high = np.full((total, ranged), -np.inf)
             for batch in batches:
-                if not batch.num_rows:
-                    continue
-                everything = _matrix(batch, features)
-                ids = batch.column(ROW_ID).to_numpy() if sampled else None
-                for index, chosen in _per_model(batch, lookup):
-                    rows = everything if chosen is None else everything[chosen]
+                for model, values, ids in zip(*[batch.column(c) for c in (MODEL, "values", "ids")]):
+                    index = lookup.get(model.as_py())
+                    if index is None:
+                        continue
+                    rows = np.frombuffer(values.as_buffer(), dtype=np.float64).reshape(-1, width)
+                    row_ids = np.frombuffer(ids.as_buffer(), dtype=np.int64) if sampled else None
                     columns = np.ascontiguousarray(rows.T)
                     feature, threshold, active = shared.value[index]
                     block = max(1, 20_000 // len(rows))
@@ -155,9 +190,12 @@ def _grow_over_cluster(df: DataFrame, features: list[str], sizes: list[tuple[str
                         place = iso.descend(columns, feature[part], threshold[part], level)
                         live = active[part]
                         if sampled:
-                            mine = ids if chosen is None else ids[chosen]
                             live = np.take_along_axis(live, place, axis=1) & iso.in_sample(
-                                cfg.seed, first, part.stop - first, mine, cfg.max_samples)
+                                cfg.seed, first, part.stop - first, row_ids, cfg.max_samples)
+                        if index in counting:
+                            at, n = iso.node_counts(place, places, live)
+                            count[at + (dense[index] * n_trees + first) * places] += n
+                            continue
                         at, n, lo, hi = iso.node_ranges(rows, place, places, live)
                         at = at + (dense[index] * n_trees + first) * places
                         count[at] += n
@@ -165,17 +203,17 @@ def _grow_over_cluster(df: DataFrame, features: list[str], sizes: list[tuple[str
                         high[at] = np.maximum(high[at], hi)
             used = np.flatnonzero(count)
             arrays = [pa.array(used), pa.array(count[used])]
-            for i in range(width):
+            for i in range(ranged):
                 arrays += [pa.array(low[used, i]), pa.array(high[used, i])]
-            titles = ["slot", "n"] + [f"{side}{i}" for i in range(width) for side in ("lo", "hi")]
             for start in range(0, len(used), 50_000):
                 yield pa.RecordBatch.from_arrays([a.slice(start, 50_000) for a in arrays], names=titles)
 
-        table = df.mapInArrow(partials, schema).groupBy("slot").agg(*merged).toArrow()
+        table = blocks.select(MODEL, "values", "ids").mapInArrow(partials, schema).groupBy("slot").agg(*merged).toArrow()
         slot = table.column("slot").to_numpy()
         count = table.column("n").to_numpy()
-        low = np.column_stack([table.column(f"lo{i}").to_numpy() for i in range(width)])
-        high = np.column_stack([table.column(f"hi{i}").to_numpy() for i in range(width)])
+        low, high = (
+            np.column_stack([table.column(f"{side}{i}").to_numpy() for i in range(ranged)]) if ranged else
+            np.empty((len(slot), 0)) for side in ("lo", "hi"))
         owner = slot // (n_trees * places)
         for index in growing:
             mine = owner == dense[index]
@@ -242,8 +280,33 @@ def _spread(df: DataFrame, rows: int) -> DataFrame:
     return df.repartition(cores) if rows < cores * SPREAD_BELOW else df
 
 
-def _fit(df: DataFrame, features: Sequence[str], keys: Sequence[str], cfg: Settings) -> tuple[list[iso.Trees], DataFrame | None]:
-    """(forests grown over the cluster and held here, node table of those grown in tasks)."""
+def _by_model(df: DataFrame, rows: int) -> DataFrame:
+    """Rows of a model together, models spread wide: growing trees is work that row counts and bytes understate."""
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism * 4, rows // ROWS_PER_TASK)
+    return df.repartition(int(tasks), MODEL)
+
+
+@dataclass(frozen=True)
+class _Grown:
+    """Forests just grown: over the cluster and held here, or in tasks and stored as a node table."""
+
+    trees: list[iso.Trees]
+    stored: DataFrame | None
+    rows: int
+    largest: int
+
+    def nodes(self, spark: SparkSession) -> DataFrame:
+        if not self.trees:
+            return spark.createDataFrame([], NODES_SCHEMA) if self.stored is None else self.stored
+        made = settle(_node_table(spark, self.trees))
+        return made if self.stored is None else made.unionByName(self.stored)
+
+    def hot(self) -> str | None:
+        """No model needs its percentile taken in bins if the largest one fits a task."""
+        return "check" if self.largest > CHUNK_ROWS else None
+
+
+def _fit(df: DataFrame, features: Sequence[str], keys: Sequence[str], cfg: Settings) -> _Grown:
     features = list(features)
     named = _prepare(df, features, keys, cfg)
     lean = named.select(MODEL, *features, *([ROW_ID] if cfg.max_samples < 1.0 else []))
@@ -252,6 +315,8 @@ def _fit(df: DataFrame, features: Sequence[str], keys: Sequence[str], cfg: Setti
     # At most rows / limit models are big enough to be listed here.
     big = sorted((r[MODEL], r["_n"]) for r in sizes.where(F.col("_n") > limit).collect())
     fitting = sizes.where(F.col("_n") <= limit)
+    few = fitting.agg(F.sum("_n").alias("rows"), F.max("_n").alias("largest")).first()
+    n_few = few["rows"] or 0
 
     def grow_group(rows: pd.DataFrame) -> pd.DataFrame:
         ids = rows[ROW_ID].to_numpy() if cfg.max_samples < 1.0 else None
@@ -261,24 +326,25 @@ def _fit(df: DataFrame, features: Sequence[str], keys: Sequence[str], cfg: Setti
         return _node_rows(trees)
 
     small_nodes = None
-    if not fitting.isEmpty():
+    if n_few:
         small = attach(lean, fitting.drop("_n"), [MODEL]) if big else lean
-        small_nodes = settle(small.groupBy(MODEL).applyInPandas(grow_group, NODES_SCHEMA))
+        small_nodes = settle(_by_model(small, n_few).groupBy(MODEL).applyInPandas(grow_group, NODES_SCHEMA))
     grown, stored = [], []
     batches = list(_batches(big, cfg))
     for batch in batches:
         names = [name for name, _ in batch]
         mine = lean.where(F.col(MODEL).isin(names)) if small_nodes is not None or len(batches) > 1 else lean
-        held = _spread(mine, sum(n for _, n in batch)).persist()
-        trees = _grow_over_cluster(held, features, batch, cfg)
-        held.unpersist()
+        blocks = _pack(_spread(mine, sum(n for _, n in batch)), features, cfg.max_samples < 1.0).persist()
+        trees = _grow_over_cluster(blocks, len(features), batch, cfg)
+        blocks.unpersist()
         if len(batches) == 1:
             grown = trees
         else:
             stored.append(settle(_node_table(df.sparkSession, trees)))
     for more in stored:
         small_nodes = more if small_nodes is None else small_nodes.unionByName(more)
-    return grown, small_nodes
+    return _Grown(
+        grown, small_nodes, n_few + sum(n for _, n in big), max([few["largest"] or 0] + [n for _, n in big]))
 
 
 def _node_table(spark: SparkSession, trees: Sequence[iso.Trees]) -> DataFrame:
@@ -288,14 +354,7 @@ def _node_table(spark: SparkSession, trees: Sequence[iso.Trees]) -> DataFrame:
 
 def fit_nodes(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (), settings: Settings = Settings()) -> DataFrame:
     """The node table of one forest per distinct ``keys`` (one forest in all, when there are none)."""
-    return _all_nodes(df.sparkSession, *_fit(df, features, keys, settings))
-
-
-def _all_nodes(spark: SparkSession, grown: Sequence[iso.Trees], nodes: DataFrame | None) -> DataFrame:
-    if not grown:
-        return spark.createDataFrame([], NODES_SCHEMA) if nodes is None else nodes
-    made = settle(_node_table(spark, grown))
-    return made if nodes is None else made.unionByName(nodes)
+    return _fit(df, features, keys, settings).nodes(df.sparkSession)
 
 
 def add_scores(df: DataFrame, nodes: DataFrame, features: Sequence[str], n_trees: int, keys: Sequence[str] = ()) -> DataFrame:
@@ -364,14 +423,13 @@ def _score_by_cogroup(
     return both.applyInPandas(walk_group, f"{fields}, score double").drop(MODEL)
 
 
-def _score_fitted(
-    df: DataFrame, grown: Sequence[iso.Trees], nodes: DataFrame | None, features: Sequence[str], cfg: Settings,
-    keys: Sequence[str],
+def _score_grown(
+    df: DataFrame, grown: _Grown, features: Sequence[str], cfg: Settings, keys: Sequence[str]
 ) -> DataFrame:
     """Scores straight from the forests just grown, without a round trip through the node table where possible."""
-    if nodes is None:
-        return _score_by_broadcast(df, grown, features, cfg.n_estimators, keys)
-    return add_scores(df, _all_nodes(df.sparkSession, grown, nodes), features, cfg.n_estimators, keys)
+    if grown.stored is None:
+        return _score_by_broadcast(_spread(df, grown.rows), grown.trees, features, cfg.n_estimators, keys)
+    return add_scores(df, grown.nodes(df.sparkSession), features, cfg.n_estimators, keys)
 
 
 def cutoffs(scored: DataFrame, keys: Sequence[str], contamination: float, *, hot="check") -> DataFrame:
@@ -390,10 +448,10 @@ def flag(scored: DataFrame, limits: DataFrame, keys: Sequence[str]) -> DataFrame
 def fit(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (), settings: Settings = Settings()) -> Forest:
     """Fit once, on rows taken as normal, and fix the cutoff from their own scores."""
     features, keys, cfg = list(features), list(keys), settings
-    grown, few = _fit(df, features, keys, cfg)
-    nodes = _all_nodes(df.sparkSession, grown, few)
-    scored = _score_fitted(df.select(*keys, *features), grown, few, features, cfg, keys).persist()
-    limits = settle(cutoffs(scored, keys, cfg.contamination))
+    grown = _fit(df, features, keys, cfg)
+    nodes = grown.nodes(df.sparkSession)
+    scored = _score_grown(df.select(*keys, *features), grown, features, cfg, keys).persist()
+    limits = settle(cutoffs(scored, keys, cfg.contamination, hot=grown.hot()))
     moments = scored.withColumn(MODEL, model_name(keys)).groupBy(MODEL).agg(
         F.count(F.lit(1)).alias("n_train"),
         F.array(*[F.avg(f) for f in features]).alias("means"),
@@ -421,9 +479,9 @@ def detect(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (), set
     features, keys, cfg = list(features), list(keys), settings
 
     def detect_large(rows: DataFrame) -> DataFrame:
-        grown, nodes = _fit(rows, features, keys, cfg)
-        scored = settle(_score_fitted(rows, grown, nodes, features, cfg, keys))
-        return flag(scored, settle(cutoffs(scored, keys, cfg.contamination)), keys)
+        grown = _fit(rows, features, keys, cfg)
+        scored = settle(_score_grown(rows, grown, features, cfg, keys))
+        return flag(scored, settle(cutoffs(scored, keys, cfg.contamination, hot=grown.hot())), keys)
 
     if not keys:
         return detect_large(df)
@@ -442,9 +500,11 @@ def detect(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (), set
         limit = iso.percentile_linear(scores, 1.0 - cfg.contamination)
         return rows.drop(columns=extra).assign(score=scores, flagged=scores > limit)
 
+    total = sizes.agg(F.sum("_n")).first()[0] or 0
+    out = f"{types}, score double, flagged boolean"
     if large.isEmpty():
-        return named.groupBy(MODEL).applyInPandas(detect_group, f"{types}, score double, flagged boolean")
+        return _by_model(named, total).groupBy(MODEL).applyInPandas(detect_group, out)
     short, long = split_hot(named, [MODEL], settle(large))
-    done = short.groupBy(MODEL).applyInPandas(detect_group, f"{types}, score double, flagged boolean")
+    done = _by_model(short, total).groupBy(MODEL).applyInPandas(detect_group, out)
     long = long.drop(*extra)
     return done.unionByName(detect_large(long))

@@ -193,8 +193,8 @@ def percentile_per_key(
 ) -> DataFrame:
     """Exact percentile with linear interpolation, one row per key; NULL values do not count.
 
-    Spark's own ``percentile`` keeps every distinct value of a group in one task, which is fine for short series only.
-    For a hot key the values are counted in bins, and just the bins that hold the wanted ranks are looked into.
+    Short series are sorted, each in one task, and the two values around the wanted rank are picked.  For a hot key the
+    values are counted in bins, and just the bins that hold the wanted ranks are looked into.
     """
     keys = list(keys)
     if isinstance(hot, str):
@@ -202,7 +202,12 @@ def percentile_per_key(
     present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
 
     def direct(d: DataFrame) -> DataFrame:
-        return d.groupBy(*keys).agg(F.percentile("_v", F.lit(share)).alias(name))
+        along, whole = Window.partitionBy(*keys).orderBy("_v"), Window.partitionBy(*keys)
+        ranked = d.withColumn("_i", F.row_number().over(along) - 1).withColumn(
+            "_rank", (F.count(F.lit(1)).over(whole) - 1) * F.lit(share))
+        around = ranked.where(F.col("_i").isin(F.floor("_rank"), F.ceil("_rank")))
+        low, high, rest = F.min("_v"), F.max("_v"), F.max(F.col("_rank") - F.floor("_rank"))
+        return around.groupBy(*keys).agg((low + (high - low) * rest).alias(name))
 
     if hot is None:
         return direct(present)

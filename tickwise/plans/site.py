@@ -43,7 +43,8 @@ def feature_rows(
     """Raw samples to clean model rows.
 
     Two shuffles of the data: one along each series to measure gaps and drop repeated times, one by (series, chunk of
-    cells) for everything on the grid.  Cells that cleaning would drop are never made.
+    cells) for everything on the grid.  The measured samples are settled in between, as both the median gap and the grid
+    are made from them.  Cells that cleaning would drop are never made.
     """
     keys = list(keys)
     if isinstance(hot, str):
@@ -55,8 +56,8 @@ def feature_rows(
         gap = (F.col(TS) - before) / F.lit(1e9) * F.lit(1000.0)
         return d.withColumns({GAP: gap, "_again": F.coalesce(before == F.col(TS), F.lit(False))})
 
-    measured = over_series(
-        df.select(*keys, TS, SEQ, *cols), keys, gaps, halo=1, hot=hot, chunk_rows=chunk_rows)
+    measured = settle(over_series(
+        df.select(*keys, TS, SEQ, *cols), keys, gaps, halo=1, hot=hot, chunk_rows=chunk_rows))
     medians = settle(timeaxis.median_gap(measured, keys, hot=hot))
     once = attach(measured.where(~F.col("_again")).drop("_again"), medians, keys, "left")
     once = once.withColumn(GAP, F.coalesce(GAP, "median_gap_ms")).drop("median_gap_ms")
