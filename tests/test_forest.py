@@ -67,7 +67,7 @@ def test_models_of_all_sizes_together(spark, over_cluster, monkeypatch):
     cfg = Settings(n_estimators=8, max_depth=5, contamination=0.1)
     mixed = forest.detect(both, FEATURES, ["key"], cfg).toPandas().set_index("id").sort_index()
     # One big model at a time, through the stored node table.
-    monkeypatch.setattr(forest, "NODE_BUDGET", 8 * 64)
+    monkeypatch.setattr(forest, "GROW_NODES", 8 * 64)
     one_by_one = forest.detect(both, FEATURES, ["key"], cfg).toPandas().set_index("id").sort_index()
     monkeypatch.setattr(forest, "LOCAL_ROWS_FEW", 10_000)
     monkeypatch.setattr(forest, "LOCAL_ROWS", 10_000)

@@ -96,15 +96,15 @@ def inject_faults(
     if windows is None:
         ends = settle(df.select(*keys).distinct())
         for i, item in enumerate(spec):
-            ends = ends.withColumn(f"_s{i}", F.lit(int(item["start_ns"])).cast("long"))
-            ends = ends.withColumn(f"_e{i}", F.lit(int(item["end_ns"])).cast("long"))
+            fixed = {f"_s{i}": F.lit(int(item["start_ns"])).cast("long"), f"_e{i}": F.lit(int(item["end_ns"])).cast("long")}
+            ends, df = ends.withColumns(fixed), df.withColumns(fixed)
     else:
         picks = []
         for i in range(len(spec)):
             picks.append(F.max(F.when(F.col("ord") == i, F.col("start_ns"))).alias(f"_s{i}"))
             picks.append(F.max(F.when(F.col("ord") == i, F.col("end_ns"))).alias(f"_e{i}"))
         ends = settle(windows.groupBy(*keys).agg(*picks))
-    df = attach(df, ends, keys, "left")
+        df = attach(df, ends, keys, "left")
     labels = []
     for i, item in enumerate(spec):
         start, end, kind = F.col(f"_s{i}"), F.col(f"_e{i}"), item["type"]

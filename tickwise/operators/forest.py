@@ -9,7 +9,7 @@ Two sizes of work are told apart by counting first:
 
 * small models are grown whole inside one task per model, all models side by side: up to ``LOCAL_ROWS`` rows if there
   are enough such models to keep every core busy, otherwise up to ``LOCAL_ROWS_FEW``;
-* larger models are grown over the cluster, as many at a time as keep the trees under ``NODE_BUDGET`` nodes.
+* larger models are grown over the cluster, as many at a time as keep the growing trees under ``GROW_NODES`` nodes.
 
 Depth is capped, the rest of a cut-off subtree being estimated by the usual leaf correction: uncapped trees over n rows
 have up to n leaves each and could not be sent to the tasks.
@@ -18,6 +18,7 @@ have up to n leaves each and could not be sent to the tasks.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -29,12 +30,13 @@ from pyspark.sql import functions as F
 
 from tickwise.functions import isolation as iso
 from tickwise.operators.series import CHUNK_ROWS, attach, percentile_per_key, split_hot
-from tickwise.session import is_small, settle
+from tickwise.session import checkpoint_folder, is_small, settle
 
-LOCAL_ROWS = 200_000
+LOCAL_ROWS = 1_000_000
 LOCAL_ROWS_FEW = 20_000
 SPREAD_BELOW = 1_000_000
 ROWS_PER_TASK = 500_000
+GROW_NODES = 20_000_000
 NODE_BUDGET = 2_000_000
 MODEL = "model"
 ROW_ID = "_row_id"
@@ -161,7 +163,6 @@ def _grow_over_cluster(blocks: DataFrame, width: int, sizes: list[tuple[str, int
             i: (grown[i].feature[:, upper].copy(), grown[i].threshold[:, upper].copy(),
                 grown[i].active[:, grown[i].level(level)].copy()) for i in growing})
         lookup = {name: i for name, i in names.items() if i in growing}
-        dense = {i: k for k, i in enumerate(growing)}
         # Nodes of the last level are leaves whatever their ranges are, so they only need counting.
         counting = {i for i in growing if grown[i].depth == level}
         ranged = width if len(counting) < len(growing) else 0
@@ -171,15 +172,17 @@ def _grow_over_cluster(blocks: DataFrame, width: int, sizes: list[tuple[str, int
             (F.min(t) if t.startswith("lo") else F.max(t)).alias(t) for t in titles[2:]]
 
         def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = len(dense) * n_trees * places
-            count = np.zeros(total, dtype=np.int64)
-            low = np.full((total, ranged), np.inf)
-            high = np.full((total, ranged), -np.inf)
+            slots = n_trees * places
+            seen: dict[int, tuple] = {}  # a task holds sums only for the models it meets
             for batch in batches:
                 for model, values, ids in zip(*[batch.column(c) for c in (MODEL, "values", "ids")]):
                     index = lookup.get(model.as_py())
                     if index is None:
                         continue
+                    if index not in seen:
+                        seen[index] = (np.zeros(slots, dtype=np.int64), np.full((slots, ranged), np.inf),
+                                       np.full((slots, ranged), -np.inf))
+                    count, low, high = seen[index]
                     rows = np.frombuffer(values.as_buffer(), dtype=np.float64).reshape(-1, width)
                     row_ids = np.frombuffer(ids.as_buffer(), dtype=np.int64) if sampled else None
                     columns = np.ascontiguousarray(rows.T)
@@ -194,19 +197,20 @@ def _grow_over_cluster(blocks: DataFrame, width: int, sizes: list[tuple[str, int
                                 cfg.seed, first, part.stop - first, row_ids, cfg.max_samples)
                         if index in counting:
                             at, n = iso.node_counts(place, places, live)
-                            count[at + (dense[index] * n_trees + first) * places] += n
+                            count[at + first * places] += n
                             continue
                         at, n, lo, hi = iso.node_ranges(rows, place, places, live)
-                        at = at + (dense[index] * n_trees + first) * places
+                        at = at + first * places
                         count[at] += n
                         low[at] = np.minimum(low[at], lo)
                         high[at] = np.maximum(high[at], hi)
-            used = np.flatnonzero(count)
-            arrays = [pa.array(used), pa.array(count[used])]
-            for i in range(ranged):
-                arrays += [pa.array(low[used, i]), pa.array(high[used, i])]
-            for start in range(0, len(used), 50_000):
-                yield pa.RecordBatch.from_arrays([a.slice(start, 50_000) for a in arrays], names=titles)
+            for index, (count, low, high) in seen.items():
+                used = np.flatnonzero(count)
+                arrays = [pa.array(used + index * slots), pa.array(count[used])]
+                for i in range(ranged):
+                    arrays += [pa.array(low[used, i]), pa.array(high[used, i])]
+                for start in range(0, len(used), 50_000):
+                    yield pa.RecordBatch.from_arrays([a.slice(start, 50_000) for a in arrays], names=titles)
 
         table = blocks.select(MODEL, "values", "ids").mapInArrow(partials, schema).groupBy("slot").agg(*merged).toArrow()
         slot = table.column("slot").to_numpy()
@@ -216,7 +220,7 @@ def _grow_over_cluster(blocks: DataFrame, width: int, sizes: list[tuple[str, int
             np.empty((len(slot), 0)) for side in ("lo", "hi"))
         owner = slot // (n_trees * places)
         for index in growing:
-            mine = owner == dense[index]
+            mine = owner == index
             grown[index].grow(level, slot[mine] % (n_trees * places), count[mine], low[mine], high[mine])
         shared.destroy()
     return grown
@@ -263,7 +267,7 @@ def _prepare(df: DataFrame, features: Sequence[str], keys: Sequence[str], cfg: S
 
 def _batches(sizes: list[tuple[str, int]], cfg: Settings) -> Iterator[list[tuple[str, int]]]:
     per_model = cfg.n_estimators * 2 ** (cfg.max_depth + 1)
-    step = max(1, NODE_BUDGET // per_model)
+    step = max(1, GROW_NODES // per_model)
     for start in range(0, len(sizes), step):
         yield sizes[start:start + step]
 
@@ -331,15 +335,17 @@ def _fit(df: DataFrame, features: Sequence[str], keys: Sequence[str], cfg: Setti
         small_nodes = settle(_by_model(small, n_few).groupBy(MODEL).applyInPandas(grow_group, NODES_SCHEMA))
     grown, stored = [], []
     batches = list(_batches(big, cfg))
-    for batch in batches:
-        names = [name for name, _ in batch]
-        mine = lean.where(F.col(MODEL).isin(names)) if small_nodes is not None or len(batches) > 1 else lean
-        blocks = _pack(_spread(mine, sum(n for _, n in batch)), features, cfg.max_samples < 1.0).persist()
-        trees = _grow_over_cluster(blocks, len(features), batch, cfg)
+    sampled = cfg.max_samples < 1.0
+    if len(batches) == 1:
+        mine = lean.where(F.col(MODEL).isin([name for name, _ in big])) if n_few else lean
+        blocks = _pack(_spread(mine, sum(n for _, n in big)), features, sampled).persist()
+        grown = _grow_over_cluster(blocks, len(features), big, cfg)
         blocks.unpersist()
-        if len(batches) == 1:
-            grown = trees
-        else:
+    elif batches:
+        turns = [(name, turn) for turn, batch in enumerate(batches) for name, _ in batch]
+        by_turn = _store_by_turn(lean, df.sparkSession.createDataFrame(turns, f"{MODEL} string, _turn int"), features, sampled)
+        for turn, batch in enumerate(batches):
+            trees = _grow_over_cluster(by_turn.where(F.col("_turn") == turn), len(features), batch, cfg)
             stored.append(settle(_node_table(df.sparkSession, trees)))
     for more in stored:
         small_nodes = more if small_nodes is None else small_nodes.unionByName(more)
@@ -347,6 +353,18 @@ def _fit(df: DataFrame, features: Sequence[str], keys: Sequence[str], cfg: Setti
         grown, small_nodes, n_few + sum(n for _, n in big), max([few["largest"] or 0] + [n for _, n in big]))
 
 
+def _store_by_turn(lean: DataFrame, turns: DataFrame, features: list[str], sampled: bool) -> DataFrame:
+    """Blocks of all big models, written once, in one folder per turn of growing, so that a turn reads its own only.
+
+    Range partitioning puts few models into each file and splits a model that is larger than the rest.
+    """
+    side = F.broadcast(turns) if is_small(turns) else turns
+    blocks = _pack(lean.join(side.select(MODEL), MODEL, "left_semi"), features, sampled).join(side, MODEL)
+    path = f"{checkpoint_folder(lean.sparkSession)}/blocks-{uuid.uuid4().hex}"
+    blocks.repartitionByRange("_turn", MODEL, F.xxhash64("values")).write.partitionBy("_turn").parquet(path)
+    return lean.sparkSession.read.schema(blocks.schema).parquet(path)
+
+
 def _node_table(spark: SparkSession, trees: Sequence[iso.Trees]) -> DataFrame:
     made = pd.concat([_node_rows(t) for t in trees])
     return spark.createDataFrame(pa.Table.from_pandas(made, NODES_ARROW, preserve_index=False))
