@@ -194,7 +194,8 @@ def percentile_per_key(
     """Exact percentile with linear interpolation, one row per key; NULL values do not count.
 
     Short series are sorted, each in one task, and the two values around the wanted rank are picked.  For a hot key the
-    values are counted in bins, and just the bins that hold the wanted ranks are looked into.
+    equal values are counted first (measured gaps have few different ones), then bins of values, and just the bins that
+    hold the wanted ranks are looked into.
     """
     keys = list(keys)
     if isinstance(hot, str):
@@ -211,32 +212,38 @@ def percentile_per_key(
 
     if hot is None:
         return direct(present)
-    short, long = split_hot(present, keys, hot)
-    spread = settle(long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
+    # One pass over the input; the short and the long series are told apart in the counted values.
+    counts = settle(present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    short, values = split_hot(counts, keys, hot)
+    whole = Window.partitionBy(*keys)
+    total = short.withColumn("_rank", (F.sum("_c").over(whole) - 1) * F.lit(share))
+    total = total.withColumn("_low", F.floor("_rank")).withColumn("_high", F.ceil("_rank")).withColumn(
+        "_upto", F.sum("_c").over(whole.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
+    spread = values.groupBy(*keys).agg(
+        F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     rank = (F.col("_n") - 1) * F.lit(share)
-    spread = spread.withColumn("_rank", rank).withColumn("_low", F.floor("_rank")).withColumn("_high", F.ceil("_rank"))
+    spread = settle(
+        spread.withColumn("_rank", rank).withColumn("_low", F.floor("_rank")).withColumn("_high", F.ceil("_rank")))
     scaled = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * PERCENTILE_BINS)
     slot = F.when(F.col("_hi") > F.col("_lo"), F.least(scaled, F.lit(PERCENTILE_BINS - 1))).otherwise(F.lit(0))
-    binned = attach(long, spread, keys).withColumn("_slot", slot)
+    binned = attach(values, spread, keys).withColumn("_slot", slot)
     upto = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
     counted = (
-        binned.groupBy(*keys, "_slot", "_low", "_high").agg(F.count(F.lit(1)).alias("_c"))
+        binned.groupBy(*keys, "_slot", "_low", "_high").agg(F.sum("_c").alias("_c"))
         .withColumn("_upto", F.sum("_c").over(upto))
     )
     wanted = (F.col("_upto") > F.col("_low")) & (F.col("_upto") - F.col("_c") <= F.col("_high"))
     slots = settle(counted.where(wanted).select(*keys, "_slot", (F.col("_upto") - F.col("_c")).alias("_skip")))
-    inside = attach(binned, slots, [*keys, "_slot"])
     along = Window.partitionBy(*keys, "_slot").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        inside.groupBy(*keys, "_slot", "_skip", "_rank", "_low", "_high", "_v").agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_upto", F.col("_skip") + F.sum("_c").over(along))
-    )
+    ranked = attach(binned, slots, [*keys, "_slot"]).withColumn(
+        "_upto", F.col("_skip") + F.sum("_c").over(along))
 
     def at(target: str) -> Column:
         hit = (F.col("_upto") > F.col(target)) & (F.col("_upto") - F.col("_c") <= F.col(target))
         return F.max(F.when(hit, F.col("_v")))
 
-    found = ranked.groupBy(*keys, "_rank", "_low").agg(at("_low").alias("_a"), at("_high").alias("_b"))
-    between = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_rank") - F.col("_low"))
-    return direct(short).unionByName(found.select(*keys, between.alias(name)))
+    def between(d: DataFrame) -> DataFrame:
+        low, high, rest = at("_low"), at("_high"), F.max(F.col("_rank") - F.col("_low"))
+        return d.groupBy(*keys).agg((low + (high - low) * rest).alias(name))
+
+    return between(total).unionByName(between(ranked))
