@@ -67,14 +67,14 @@ class Forest:
 
 def standard_scale(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Add ``<feature>_scaled``: (x - mean) / population std, a zero std counting as 1."""
-    keys = list(keys)
-    moments = df.groupBy(*keys).agg(
+    wide = df.withColumn(MODEL, model_name(keys))
+    moments = wide.groupBy(MODEL).agg(
         *[F.avg(f).alias(f"_m_{f}") for f in features], *[F.stddev_pop(f).alias(f"_s_{f}") for f in features])
-    wide = attach(df, settle(moments), keys) if keys else df.crossJoin(F.broadcast(moments))
+    wide = attach(wide, settle(moments), [MODEL])
     for f in features:
         spread = F.when(F.col(f"_s_{f}") == 0, F.lit(1.0)).otherwise(F.col(f"_s_{f}"))
         wide = wide.withColumn(f"{f}_scaled", (F.col(f) - F.col(f"_m_{f}")) / spread)
-    return wide.drop(*[f"_m_{f}" for f in features], *[f"_s_{f}" for f in features])
+    return wide.drop(MODEL, *[f"_m_{f}" for f in features], *[f"_s_{f}" for f in features])
 
 
 def model_name(keys: Sequence[str]):

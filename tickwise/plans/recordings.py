@@ -71,17 +71,17 @@ def fit_baseline(
     return forest.fit(pooled, FEATURES, ["suffix"], settings)
 
 
-def covered_channels(channels: DataFrame, baseline: forest.Forest) -> DataFrame:
-    """Channels whose suffix has a model; the others are not checked at all."""
-    suffixes = baseline.meta.select(F.col(forest.MODEL).alias("suffix"))
-    return channels.join(suffixes, "suffix", "left_semi")
+def covered_channels(channels: DataFrame, modelled: DataFrame) -> DataFrame:
+    """Channels whose suffix is among the modelled ones; the others are not checked at all."""
+    return channels.join(modelled.select("suffix"), "suffix", "left_semi")
 
 
 def baseline_verdicts(
     readings: DataFrame, manifest: DataFrame, baseline: forest.Forest, window: int = 10, **sizes
 ) -> DataFrame:
     """One verdict per channel with a baseline model, by that model's fixed cutoff."""
-    chosen = covered_channels(select_channels(readings, manifest), baseline)
+    modelled = baseline.meta.select(F.col(forest.MODEL).alias("suffix"))
+    chosen = covered_channels(select_channels(readings, manifest), modelled)
     channels = chosen.select(*CHANNEL).distinct()
     rows = settle(recording_rows(chosen, window, **sizes))
     scored = forest.score(rows.join(_usable(rows), list(CHANNEL), "left_semi"), baseline, ["suffix"])

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickwise.operators import evaluate, faults, reporting, runlog
+from tickwise.plans.recordings import covered_channels
 from tickwise.schema import SEQ, TS
+from tickwise.sources.archives import select_channels
 from tickwise.workload.common import (
     READINGS, SAMPLES, SELECTED, USER, query, r6, readings, recordings, samples)
 from tickwise.workload.fault_model import FAULT_LABELS, SPEC
@@ -88,8 +90,6 @@ CHANNELS = f"""{SELECTED}, ch as (select sigid, pmu, suffix, pmu || suffix as ch
 
 def _channels(spark, folder):
     """One verdict per selected channel by the level test."""
-    from tickwise.sources.archives import select_channels
-
     chosen = select_channels(readings(spark, folder), recordings(spark, folder))
     flagged = chosen.withColumn("flagged", F.col("value") > 150)
     found = evaluate.channel_any(flagged, ["sigid", "pmu", "suffix"])
@@ -153,14 +153,14 @@ def suffix_flag_rate(spark, folder):
     return evaluate.suffix_flag_rate(_channels(spark, folder)).withColumn("flag_rate", F.round("flag_rate", 6))
 
 
-@query("baseline_coverage", f"""with {READINGS}, b as (select distinct suffix from r where value > 320)
+@query("baseline_coverage", f"""with {READINGS}, b as (select suffix from r group by 1 having avg(value) >= 50)
 select sigid, pmu, suffix, count(*) as n_rows from r where suffix in (select suffix from b) group by 1, 2, 3""")
 def baseline_coverage(spark, folder):
-    """Channels whose measurement type has a baseline, here a type with a reading above 320."""
-    all_channels = readings(spark, folder)
-    known = all_channels.where(F.col("value") > 320).select("suffix").distinct()
-    counted = all_channels.join(known, "suffix", "left_semi").groupBy("sigid", "pmu", "suffix")
-    return counted.agg(F.count(F.lit(1)).alias("n_rows"))
+    """Channels whose measurement type has a baseline; here the types with a mean reading of at least 50 have one."""
+    everything = readings(spark, folder)
+    modelled = everything.groupBy("suffix").agg(F.avg("value").alias("mean")).where(F.col("mean") >= 50)
+    covered = covered_channels(everything, modelled)
+    return covered.groupBy("sigid", "pmu", "suffix").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 BUCKETS = 20
