@@ -162,13 +162,19 @@ def iforest_full(spark, folder):
     return forest.detect(_lines(spark, folder), MEASURES).select(*LINE_KEYS, "score", "flagged")
 
 
-@query("iforest_vectors")
+DIMENSIONS = 64
+
+
+@query("iforest_vectors", f"""with em as materialized (select *, row_number() over () as rid from embeddings),
+{forest_ctes('em', [f'embedding[{i + 1}]' for i in range(DIMENSIONS)], 'label::varchar', 100, 10)},
+{flag_ctes('fo_scored', 0.01)}
+select vec_id, label, round(score, 6) as score, flagged from fl join em using (rid)""")
 def iforest_vectors(spark, folder):
-    """A forest over many features: every dimension of the embedding table, one model per label."""
-    vectors = table(spark, folder, "embeddings")
-    size = vectors.select(F.max(F.size("embedding"))).first()[0]
-    wide = vectors.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"d{i}") for i in range(size)])
-    found = forest.detect(wide, [f"d{i}" for i in range(size)], ["label"])
+    """The full-size forest over many features: every dimension of the embedding table, one model per label."""
+    names = [f"d{i}" for i in range(DIMENSIONS)]
+    wide = table(spark, folder, "embeddings").select(
+        "vec_id", "label", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    found = forest.detect(wide, names, ["label"])
     return found.select("vec_id", "label", r6("score"), "flagged")
 
 
