@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import repair, topk
+from tickwise.llm import minmax, packing, repair, topk
 from tickwise.llm.frames import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,25 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = shared_path(spark, "token-ids")
     repair.write_ids(table(spark, folder, "documents"), files)
     return repair.digests(spark, files)
+
+
+@query("op6_packing")
+def packing_query(spark: SparkSession, folder: str) -> DataFrame:
+    placed = packing.pack_documents(table(spark, folder, "documents"))
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op7_minmax_near_dedup", """with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+s as (select doc_id, unnest(list_distinct(case when len(w) >= 2 then list_transform(range(1, len(w)), lambda i: w[i] || chr(32) || w[i + 1])
+  else w end)) as s from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+f as (select s.*, n.n from s join n using (doc_id)),
+p as (select a.doc_id as a, b.doc_id as b from f a join f b on a.s = b.s and a.doc_id <> b.doc_id and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r(doc_id, reached) as (select doc_id, doc_id from documents union select r.doc_id, p.b from r join p on r.reached = p.a)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+from documents d left join n using (doc_id) join (select doc_id, min(reached) as component_id from r group by doc_id) c using (doc_id)""")
+def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minmax.near_duplicates(table(spark, folder, "documents"), shingle=2)
