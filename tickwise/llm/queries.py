@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import minmax, packing, repair, topk
-from tickwise.llm.frames import shared_path
+from tickwise.llm import chat, minmax, packing, repair, topk
+from tickwise.llm.frames import shared_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,3 +69,12 @@ select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id, d.doc_id = c.co
 from documents d left join n using (doc_id) join (select doc_id, min(reached) as component_id from r group by doc_id) c using (doc_id)""")
 def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, folder, "documents"), shingle=2)
+
+
+@query("op9_chat_format")
+def chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    turns = table(spark, folder, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").unionByName(extra)
+    return chat.read_digests(stored(chat.format_conversations(turns), "windows"))
