@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import chat, minmax, packing, repair, topk
+from tickwise.llm import chat, crf, minmax, packing, repair, topk
 from tickwise.llm.frames import shared_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,13 @@ def chat_format(spark: SparkSession, folder: str) -> DataFrame:
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     turns = table(spark, folder, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").unionByName(extra)
     return chat.read_digests(stored(chat.format_conversations(turns), "windows"))
+
+
+@query("op8_toxicity_crf")
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = crf.fit(docs, table(spark, folder, "labels").where(~held_out))
+    scored = crf.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+                         "n_toxic_words", "span_starts", "span_ends")

@@ -7,13 +7,12 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from tickwise.llm.words import slices, split, strings
+from tickwise.llm.words import process_state, slices, split, strings
 
 WORD_BPE = "word_bpe_49k.json"
 END_ID = 2
 _TABLE_BITS = 21
 _POOL_IDS = 6_000_000
-_encoders: dict[str, Encoder] = {}
 
 
 def vocabulary(name: str = WORD_BPE) -> str:
@@ -26,9 +25,10 @@ def vocabulary(name: str = WORD_BPE) -> str:
 def encoder(path: str | None = None) -> Encoder:
     """This process's encoder of a tokenizer file; None: the word BPE of 49,408 ids."""
     path = path or vocabulary()
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    encoders = process_state("encoders")
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
 
 
 class Encoder:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -23,28 +24,37 @@ _KIND[39] = 0
 for _lo, _hi in ((48, 58), (65, 91), (97, 123)):
     _KIND[_lo:_hi] = 1
 _BYTE = np.random.default_rng(20240711).integers(1, 1 << 63, 256, dtype=np.uint64)
-_powers: dict[str, np.ndarray] = {}
 
 
 class Words(NamedTuple):
-    """The words of some texts: byte range and hash of each, and where each text's words begin (one more than texts)."""
+    """The words of some texts: byte range and hash of each, and where each text's words begin (one more than texts).
+
+    ``sums`` are the running sums that hash any byte range (see ``ranges``).
+    """
 
     data: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     hashes: np.ndarray
     first: np.ndarray
+    sums: np.ndarray
+
+
+def process_state(name: str) -> dict:
+    """A dictionary that lives as long as this process: functions reach tasks by value, and so do their module's globals."""
+    return sys.__dict__.setdefault("_tickwise_state", {}).setdefault(name, {})
 
 
 def _power(n: int, base: int, name: str) -> np.ndarray:
-    have = _powers.get(name)
+    powers = process_state("powers")
+    have = powers.get(name)
     if have is None or len(have) < n:
         size = max(n, SLICE_BYTES + 65_536)
         have = np.full(size, base, dtype=np.uint64)
         have[0] = 1
         np.cumprod(have, out=have)
         if size <= 4 * SLICE_BYTES:
-            _powers[name] = have
+            powers[name] = have
     return have[:n]
 
 
@@ -98,7 +108,7 @@ def split(column: pa.Array, lower: bool = True, pieces: bool = False) -> Words:
     n = len(data)
     if n == 0:
         none = np.zeros(0, np.int64)
-        return Words(data, none, none, none.astype(np.uint64), np.zeros(len(at), np.int64))
+        return Words(data, none, none, none.astype(np.uint64), np.zeros(len(at), np.int64), np.zeros(1, np.uint64))
     space = _SPACE[data]
     border = np.zeros(n + 1, dtype=bool)
     border[at] = True
@@ -116,9 +126,15 @@ def split(column: pa.Array, lower: bool = True, pieces: bool = False) -> Words:
     values = _BYTE[_LOWER[data] if lower else data] * _power(n, _BASE, "up")
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(values, out=total[1:])
-    hashes = (total[ends] - total[starts]) * _power(n, _BASE_INVERSE, "down")[starts]
-    hashes = mix(hashes + (ends - starts).astype(np.uint64))
-    return Words(data, starts, ends, hashes, np.searchsorted(starts, at))
+    return Words(data, starts, ends, ranges(total, starts, ends), np.searchsorted(starts, at), total)
+
+
+def ranges(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges; equal for equal bytes, wherever they lie. The ranges must not be empty."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    at_base = (sums[ends] - sums[starts]) * _power(len(sums) - 1, _BASE_INVERSE, "down")[starts]
+    return mix(at_base + (ends - starts).astype(np.uint64))
 
 
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
