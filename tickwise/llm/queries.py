@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import chat, crf, minmax, packing, repair, topk
+from tickwise.llm import chat, crf, minmax, packing, quality, repair, topk
 from tickwise.llm.frames import shared_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,9 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = crf.score(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
                          "n_toxic_words", "span_starts", "span_ends")
+
+
+@query("op2_quality")
+def quality_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    return quality.judge(docs, table(spark, folder, "labels")).drop("text")
