@@ -27,7 +27,7 @@ from tickwise.llm.tokens import encoded
 LENGTH = 4_096
 GRID = 16
 PIVOTS = 4_000
-BUCKET_PIECES = 20_000
+BUCKET_PIECES = 1_000
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
                      ("doc_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
