@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import chat, crf, minmax, packing, quality, repair, topk
+from tickwise.llm import chat, crf, decontaminate, minmax, packing, quality, repair, topk, wrappers
 from tickwise.llm.frames import shared_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,13 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def quality_query(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
     return quality.judge(docs, table(spark, folder, "labels")).drop("text")
+
+
+@query("op3_main_text")
+def main_text_query(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.main_text(table(spark, folder, "pages"))
+
+
+@query("op1_decontamination")
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
