@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import chat, crf, decontaminate, minmax, packing, quality, repair, topk, wrappers
+from tickwise.llm import chat, crf, decontaminate, minmax, packing, quality, repair, topk, windows, wrappers
 from tickwise.llm.frames import shared_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,8 @@ def main_text_query(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_decontamination")
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op5_substring_dedup")
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return windows.repeated_passages(table(spark, folder, "documents"))
