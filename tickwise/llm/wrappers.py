@@ -1,10 +1,10 @@
 """Main text of web pages by wrappers: union-free regular expressions inferred from the pages of a host.
 
-A page is a stream of tokens: opening and closing tags and text slots. A *wrapper* is a sequence of tokens, repeated groups ``(+ ...)``
-and optional groups ``(? ...)``. It starts as one page with its neighbouring equal runs folded into repeated groups, and each further page is
-aligned with it: what both have stays, a run that only one has becomes optional, a run that one has once and the other
-several times becomes repeated. Text always is a slot. Pages only differ in few ways, so each distinct folded page is
-aligned once; wrappers of parts of a host merge by the same alignment, first in groups and then all, so that no task
+A page is a stream of tokens: opening and closing tags and text slots. A *wrapper* is such a stream with repeated groups ``(+ ...)`` and
+optional groups ``(? ...)``, kept as nested elements so that a group never cuts an element in two. It starts as one page with neighbouring
+like runs folded into repeated groups, and each further page is aligned with it: what both have stays, what only one has becomes optional, what
+one has once and the other several times becomes repeated. Text always is a slot. Pages of a host differ in few ways, so each distinct folded
+page is aligned once; wrappers of parts of a host merge by the same alignment, first in groups and then all, so that no task
 sees all pages of a host.
 
 The slots of a wrapper say where a host keeps its article: under ``article``, else ``main`` or an element named like one, else
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from tickwise.llm.frames import batch, column, small_enough, stored
 
 SALTS = 32
-LONGEST_UNIT = 12
+LONGEST_UNIT = 4
+DEEPEST = 60
 SLICE_PAGES = 256
 
 _TOKEN = re.compile(
@@ -109,59 +110,74 @@ def tokens(page: str) -> Iterator[tuple[str, str]]:
 
 
 def skeleton(page: str) -> list:
-    """The symbols of a page without inline tags and breaks; neighbouring text is one slot."""
-    out: list = []
+    """A page as a list of nodes: ``#`` is a text slot, ``[tag, *nodes]`` an element; without inline tags, breaks and levels below DEEPEST."""
+    root: list = []
+    open_nodes, skipped = [root], 0
     for symbol, text in tokens(page):
+        here = open_nodes[-1]
         if symbol == "#":
-            if (out and out[-1] == "#") or not text.strip():
-                continue
+            if text.strip() and not (here and here[-1] == "#"):
+                here.append("#")
         elif symbol == "|" or symbol[1:].rstrip("+-") in _INLINE:
             continue
-        out.append(symbol)
-    return out
+        elif symbol[0] == "<":
+            if len(open_nodes) > DEEPEST:
+                skipped += 1
+            else:
+                here.append([symbol])
+                open_nodes.append(here[-1])
+        elif skipped:
+            skipped -= 1
+        else:
+            open_nodes.pop()
+    return root
 
 
-def _key(node) -> str:
-    return node if isinstance(node, str) else json.dumps(node)
+def _open(node) -> tuple[list, bool, bool]:
+    """What a node holds, whether it is optional, whether it is repeated."""
+    optional = repeated = False
+    held = [node]
+    while len(held) == 1 and not isinstance(held[0], str) and held[0][0] in "?+":
+        optional, repeated = optional or held[0][0] == "?", repeated or held[0][0] == "+"
+        held = held[0][1:]
+    return held, optional, repeated
 
 
-def fold(nodes: list) -> list:
-    """Neighbouring equal runs become one repeated group, shortest runs first, inner groups before outer ones."""
-    size = 1
-    while size <= LONGEST_UNIT and 2 * size <= len(nodes):
-        keys, out, at, changed = [_key(n) for n in nodes], [], 0, False
-        while at < len(nodes):
-            times = 1
-            while keys[at:at + size] == keys[at + times * size:at + (times + 1) * size] and at + (times + 1) * size <= len(nodes):
-                times += 1
-            if times > 1 and not (size == 1 and not isinstance(nodes[at], str)):
-                out.append(["+", *nodes[at:at + size]])
-                at += times * size
-                changed = True
-            elif times > 1:
-                out.append(nodes[at])
-                at += times
-                changed = True
-            else:
-                out.append(nodes[at])
-                at += 1
-        nodes = out
-        size = 1 if changed and size > 1 else size + 1
-    return nodes
+def _close(held: list, optional: bool, repeated: bool) -> list:
+    if repeated:
+        held = [["+", *held]]
+    return [["?", *held]] if optional else held
+
+
+def _head(node) -> str:
+    """What nodes are matched by: the tags they begin with, not what these hold."""
+    return " ".join(n if isinstance(n, str) else n[0] for n in _open(node)[0])
 
 
-def _collapse(nodes: list, groups: list) -> list:
-    """Single or further occurrences of known repeated groups become the group."""
-    for group in groups:
-        unit, key, out, at = [_key(n) for n in group[1:]], _key(group), [], 0
-        keys = [_key(n) for n in nodes]
+def _join(a, b) -> list:
+    """Two nodes with one head as one."""
+    (ha, oa, ra), (hb, ob, rb) = _open(a), _open(b)
+    held = [x if isinstance(x, str) else [x[0], *align(x[1:], y[1:])] for x, y in zip(ha, hb, strict=True)]
+    return _close(held, oa or ob, ra or rb)
+
+
+def fold(nodes: list) -> list:
+    """Neighbouring runs of nodes with equal heads become one repeated group, shorter runs first."""
+    nodes = [n if isinstance(n, str) or n[0] in "?+" else [n[0], *fold(n[1:])] for n in nodes]
+    for size in range(1, LONGEST_UNIT + 1):
+        heads, out, at = [_head(n) for n in nodes], [], 0
         while at < len(nodes):
-            if keys[at:at + len(unit)] == unit:
-                at += len(unit)
-                if not (out and _key(out[-1]) == key):
-                    out.append(group)
-            elif keys[at] == key and out and _key(out[-1]) == key:
-                at += 1
+            run, end = nodes[at:at + size], at + size
+            while end + size <= len(nodes) and heads[at:at + size] == heads[end:end + size] and heads[at] != "#":
+                run = [n for x, y in zip(run, nodes[end:end + size], strict=True) for n in _join(x, y)]
+                end += size
+            if end > at + size:
+                if size == 1:
+                    held, optional, _ = _open(run[0])
+                    out += _close(held, optional, True)
+                else:
+                    out.append(["+", *run])
+                at = end
             else:
                 out.append(nodes[at])
                 at += 1
@@ -169,57 +185,27 @@ def _collapse(nodes: list, groups: list) -> list:
     return nodes
 
 
-def _groups(nodes: list) -> list:
-    found = []
-    for n in nodes:
-        if not isinstance(n, str):
-            found += _groups(n[1:])
-            if n[0] == "+":
-                found.append(n)
-    return found
-
-
 def align(a: list, b: list) -> list:
-    """The least general wrapper of the two that this alignment finds: common parts stay, other runs become optional."""
-    groups = list({_key(g): g for g in _groups(a) + _groups(b)}.values())
-    a, b = _collapse(a, groups), _collapse(b, groups)
-    # Optional groups are compared by what they hold.
-    ka = [_key(n[1:]) if n[0] == "?" and not isinstance(n, str) else _key([n]) for n in a]
-    kb = [_key(n[1:]) if n[0] == "?" and not isinstance(n, str) else _key([n]) for n in b]
-    if ka == kb:
-        return [x if not isinstance(x, str) and x[0] == "?" else y for x, y in zip(a, b, strict=True)]
+    """A wrapper for what both match: nodes that both have stay, nodes of one become optional, one against several becomes repeated."""
+    ka, kb = [_head(n) for n in a], [_head(n) for n in b]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         row, below = best[i], best[i + 1]
         for j in range(len(b) - 1, -1, -1):
             row[j] = below[j + 1] + 1 if ka[i] == kb[j] else max(below[j], row[j + 1])
     out, i, j = [], 0, 0
-
-    def optional(run: list) -> None:
-        plain: list = []
-        for n in run:
-            if not isinstance(n, str) and n[0] == "?":
-                if plain:
-                    out.append(["?", *plain])
-                    plain = []
-                out.append(n)
-            else:
-                plain.append(n)
-        if plain:
-            out.append(["?", *plain])
-
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and ka[i] == kb[j]:
-            out.append(a[i] if not isinstance(a[i], str) and a[i][0] == "?" else b[j])
+            out += _join(a[i], b[j])
             i, j = i + 1, j + 1
-            continue
-        start_i, start_j = i, j
-        while i < len(a) and (j >= len(b) or best[i + 1][j] >= best[i][j + 1]) and not (j < len(b) and ka[i] == kb[j]):
+        elif j >= len(b) or (i < len(a) and best[i + 1][j] >= best[i][j + 1]):
+            held, _, repeated = _open(a[i])
+            out += _close(held, True, repeated)
             i += 1
-        while j < len(b) and (i >= len(a) or best[i][j + 1] >= best[i + 1][j]) and not (i < len(a) and ka[i] == kb[j]):
+        else:
+            held, _, repeated = _open(b[j])
+            out += _close(held, True, repeated)
             j += 1
-        optional(a[start_i:i])
-        optional(b[start_j:j])
     return out
 
 
@@ -227,19 +213,16 @@ def slots(wrapper: list) -> set[str]:
     """The paths of open tags under which a wrapper has text slots."""
     found: set[str] = set()
 
-    def walk(nodes: list, stack: list[str]) -> None:
+    def walk(nodes: list, path: str) -> None:
         for n in nodes:
-            if not isinstance(n, str):
-                walk(n[1:], stack)
-            elif n == "#":
-                found.add("/".join(stack))
-            elif n[0] == "<":
-                stack.append(n[1:])
-            elif n[0] == ">":
-                while stack and stack.pop() != n[1:]:
-                    pass
+            if n == "#":
+                found.add(path)
+            elif n[0] in "?+":
+                walk(n[1:], path)
+            else:
+                walk(n[1:], f"{path}/{n[0][1:]}" if path else n[0][1:])
 
-    walk(wrapper, [])
+    walk(wrapper, "")
     return found
 
 
@@ -281,7 +264,7 @@ def extract(page: str, chosen: set[str]) -> tuple[str, bool]:
             else:
                 while stack and stack.pop() != symbol[1:]:
                     pass
-            path = "/".join(stack)
+            path = "/".join(stack[:DEEPEST])
             blocks.append([])
     words = (w for b in blocks if b for w in entities.unescape("".join(b)).split())
     return " ".join(words), fits
@@ -296,7 +279,7 @@ def _infer(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for host, page in zip(column(part, "host").to_pylist(), column(part, "html").to_pylist(), strict=True):
                 folded = fold(skeleton(page or ""))
                 shapes, pages = held.get(host, ({}, 0))
-                shapes[_key(folded)] = folded
+                shapes[json.dumps(folded)] = folded
                 held[host] = (shapes, pages + 1)
             out = [(host, json.dumps(_merge(list(shapes.values()))), pages) for host, (shapes, pages) in held.items()]
             yield batch(_PARTIAL, list(zip(*out, strict=True)))
@@ -304,7 +287,7 @@ def _infer(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _merge(wrappers: list[list]) -> list:
     """Longest first, so that shorter ones mostly add optional marks; the order does not depend on how rows arrived."""
-    ordered = sorted(wrappers, key=lambda w: (-len(w), _key(w)))
+    ordered = sorted(wrappers, key=lambda w: (-len(json.dumps(w)), json.dumps(w)))
     out = ordered[0]
     for w in ordered[1:]:
         out = align(out, w)
