@@ -135,8 +135,8 @@ def marginals(emission: np.ndarray, real: np.ndarray, moves: np.ndarray, gradien
     scale = state.sum(1, keepdims=True)
     forward[0] = state / scale
     for t in range(1, length):
-        state = forward[t - 1] @ move
-        state[:, 1] *= up[:, t]
+        a, b = forward[t - 1, :, 0], forward[t - 1, :, 1]
+        state = np.stack([a * move[0, 0] + b * move[1, 0], (a * move[0, 1] + b * move[1, 1]) * up[:, t]], 1)
         state /= state.sum(1, keepdims=True)
         forward[t] = np.where(real[:, t, None], state, forward[t - 1])
     out = np.empty((n, length))
@@ -151,7 +151,7 @@ def marginals(emission: np.ndarray, real: np.ndarray, moves: np.ndarray, gradien
                 joint = forward[t - 1][:, :, None] * move * step[:, None, :]
                 joint /= joint.sum((1, 2), keepdims=True)
                 pairs += joint[real[:, t]].sum(0)
-            earlier = step @ move.T
+            earlier = np.stack([step[:, 0] * move[k, 0] + step[:, 1] * move[k, 1] for k in (0, 1)], 1)
             earlier /= earlier.sum(1, keepdims=True)
             back = np.where(real[:, t, None], earlier, back)
     out[~real] = 0
@@ -223,9 +223,9 @@ def _train_stats(rows: Iterator[pa.RecordBatch], sent: bytes) -> Iterator[pa.Rec
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1) -> np.ndarray:
     w = np.zeros(x.shape[1])
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + penalty * np.eye(x.shape[1])
-        w += np.linalg.solve(h, x.T @ (y - p) - penalty * w)
+        p = 1 / (1 + np.exp(-np.clip((x * w).sum(1), -30, 30)))
+        h = np.einsum("ni,nj,n->ij", x, x, p * (1 - p)) + penalty * np.eye(x.shape[1])
+        w += np.linalg.solve(h, (x * (y - p)[:, None]).sum(0) - penalty * w)
     return w
 
 

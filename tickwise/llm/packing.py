@@ -87,12 +87,13 @@ def generate_columns(sizes: np.ndarray, demand: np.ndarray, room: int, pivots: i
     basis = np.diag(fill.astype(float))
     inverse = np.diag(1.0 / fill)
     amount = demand / fill
-    for turn in range(pivots):
+    for _ in range(pivots):
         prices = inverse.sum(0)
         worth, column_in = best_pattern(sizes, np.maximum(prices, 0), room)
         if worth <= 1 + 1e-7:
             break
-        direction = inverse @ column_in
+        # Sums and outer products only: threaded linear algebra may wait forever in a driver that also runs a JVM.
+        direction = (inverse * column_in).sum(1)
         up = direction > 1e-11
         ratio = np.full(len(sizes), np.inf)
         ratio[up] = amount[up] / direction[up]
@@ -101,13 +102,9 @@ def generate_columns(sizes: np.ndarray, demand: np.ndarray, room: int, pivots: i
         amount = np.maximum(amount - step * direction, 0)
         amount[out] = step
         basis[:, out] = column_in
-        if turn % 200 == 199:
-            inverse = np.linalg.inv(basis)
-            amount = np.maximum(inverse @ demand, 0)
-        else:
-            row = inverse[out] / direction[out]
-            inverse -= np.outer(direction, row)
-            inverse[out] = row
+        row = inverse[out] / direction[out]
+        inverse -= np.outer(direction, row)
+        inverse[out] = row
     return basis.T.round().astype(np.int64), amount
 
 
@@ -200,3 +197,11 @@ def pack_documents(docs: DataFrame, length: int = LENGTH, tokenizer: str | None
     """All documents as placed pieces: doc_id, start, length, ids_crc32, doc_tokens (, ids), sequence_id, offset."""
     pieces = stored(cut(docs, length, tokenizer, with_ids), "pieces")
     return pack(pieces, length)
+
+
+def sequences(placed: DataFrame) -> DataFrame:
+    """sequence_id, ids (the whole sequence without padding), doc_ids and lengths of its pieces, from ``pack_documents(..., with_ids=True)``."""
+    parts = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "length", "ids")))
+    grouped = placed.groupBy("sequence_id").agg(parts.alias("parts"))
+    return grouped.select("sequence_id", F.flatten(F.col("parts.ids")).alias("ids"), F.col("parts.doc_id").alias("doc_ids"),
+                          F.col("parts.length").alias("lengths"))

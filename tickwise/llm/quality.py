@@ -104,16 +104,14 @@ class Classifier:
             w = np.append(self.weights, self.bias)
             keep = np.append(np.full(len(MEASURES), ridge), 1e-6)
             for _ in range(40):
-                p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-                step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(keep), z.T @ (y - p) - keep * w)
+                p = 1 / (1 + np.exp(-np.clip((z * w).sum(1), -30, 30)))
+                # Sums only: threaded linear algebra may wait forever in a driver that also runs a JVM.
+                step = np.linalg.solve(np.einsum("ni,nj,n->ij", z, z, p * (1 - p)) + np.diag(keep), (z * (y - p)[:, None]).sum(0) - keep * w)
                 w = w + step
                 if np.abs(step).max() < 1e-8:
                     break
             self.weights, self.bias = w[:-1], float(w[-1])
 
-    def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.middle) / self.width @ self.weights + self.bias, -30, 30)
-
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Classifier:
     """Fit on the labelled rows (doc_id, quality 0/1) that have a document: at most ``rows`` of them, by a hash of doc_id.
@@ -144,7 +142,7 @@ def with_logit(docs: DataFrame, model: Classifier, name: str = "_quality_logit")
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = arrow_schema(schema)
         for some, x in _measured(rows):
-            logit = np.clip((x - middle) / width @ weights + bias, -30, 30)
+            logit = np.clip(((x - middle) / width * weights).sum(1) + bias, -30, 30)
             columns = [c.cast(f.type) for c, f in zip(some.columns, out, strict=False)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(logit)], schema=out)
 
