@@ -100,16 +100,25 @@ def test_bad_archives_are_reported(spark):
     data = [("no inner", bytearray(pack(inner_name=None))), ("no csv", bytearray(pack())), ("junk", bytearray(b"zzz")),
             ("good", bytearray(pack(WIDE)))]
     df = spark.createDataFrame(data, "path string, content binary")
-    readings = archives.parse_archives(df)
+    readings = archives.parse_archives(df, strict=False)
     assert {r["path"] for r in archives.unreadable_archives(readings).collect()} == {"no inner", "no csv", "junk"}
     assert archives.split_names(readings).count() == 9
     with pytest.raises(Exception, match="no inner zip"):
-        archives.parse_archives(df.where("path = 'no inner'"), strict=True).collect()
+        archives.parse_archives(df.where("path = 'no inner'")).collect()
+
+
+def test_a_folder_with_a_bad_archive(spark, tmp_path):
+    (tmp_path / "5711.zip").write_bytes(pack(WIDE))
+    (tmp_path / "5712.zip").write_bytes(b"zzz")
+    with pytest.raises(Exception, match="5712.zip"):
+        archives.scan_archives(spark, str(tmp_path)).collect()
+    got = archives.scan_archives(spark, str(tmp_path), strict=False)
+    assert [r["sigid"] for r in got.where("error is not null").collect()] == [5712]
+    assert got.where("error is null").count() == 9
 
 
 def test_wide_names(spark):
     wide = spark.createDataFrame([(1, 1.0, 2.0, 3.0)], "id int, P010_f double, P2_vp_a double, other double")
-    assert archives.list_pmus(wide) == ["P2", "P010"]
     assert {(r["pmu"], r["suffix"], r["value"]) for r in archives.unpivot_channels(wide, ["id"]).collect()} == {
         ("P010", "_f", 1.0), ("P2", "_vp_a", 2.0)}
 

@@ -5,24 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SCHEMA = "sigid long, source string, description string, tags array<string>, cohort string"
+SCHEMA = "sigid long, source string, tags array<string>, cohort string"
 
 # Recordings labelled with a timing problem, with the measurement suffixes the label is about.
 TIMING = {
-    5711: ("Eastern", ["_f", "_ip_a", "_vp_a"]),
-    5712: ("Eastern", ["_f", "_ip_a", "_vp_a"]),
-    5724: ("Eastern", ["_vp_a"]),
-    5726: ("Eastern", ["_vp_a"]),
-    5735: ("Eastern", ["_vp_a"]),
-    5737: ("Eastern", ["_vp_a"]),
-    5757: ("Eastern", ["_vp_a"]),
-    5790: ("Western", ["_ip_a", "_vp_a"]),
-    5791: ("Western", ["_f", "_ip_a", "_vp_a"]),
-    5829: ("Western", ["_f", "_vp_a"]),
-    5830: ("Western", ["_f", "_vp_a"]),
-    5831: ("Western", ["_f", "_vp_a"]),
-    5832: ("Western", ["_f", "_vp_a"]),
-    5833: ("Western", ["_f", "_vp_a"]),
+    5711: ("PMU - Eastern Interconnection", ["_f", "_ip_a", "_vp_a"]),
+    5712: ("PMU - Eastern Interconnection", ["_f", "_ip_a", "_vp_a"]),
+    5724: ("PMU - Eastern Interconnection", ["_vp_a"]),
+    5726: ("PMU - Eastern Interconnection", ["_vp_a"]),
+    5735: ("PMU - Eastern Interconnection", ["_vp_a"]),
+    5737: ("PMU - Eastern Interconnection", ["_vp_a"]),
+    5757: ("PMU - Eastern Interconnection", ["_vp_a"]),
+    5790: ("PMU - Western Interconnection", ["_ip_a", "_vp_a"]),
+    5791: ("PMU - Western Interconnection", ["_f", "_ip_a", "_vp_a"]),
+    5829: ("PMU - Western Interconnection", ["_f", "_vp_a"]),
+    5830: ("PMU - Western Interconnection", ["_f", "_vp_a"]),
+    5831: ("PMU - Western Interconnection", ["_f", "_vp_a"]),
+    5832: ("PMU - Western Interconnection", ["_f", "_vp_a"]),
+    5833: ("PMU - Western Interconnection", ["_f", "_vp_a"]),
 }
 # Recordings with other problems, to measure false positives on.
 NEGATIVE = (5716, 5717, 5725, 5728, 5729, 5732, 5745, 5748, 5752, 5772, 5787, 5795, 5801, 5806, 5814)
@@ -35,9 +35,9 @@ BASELINE = (
 
 def manifest(spark: SparkSession) -> DataFrame:
     """The three cohorts as one table. Untagged recordings have every non-status measurement checked."""
-    rows = [(i, f"PMU - {region} Interconnection", "", tags, "timing") for i, (region, tags) in TIMING.items()]
-    rows += [(i, "", "", [], "negative") for i in NEGATIVE]
-    rows += [(i, "", "", [], "baseline") for i in BASELINE]
+    rows = [(i, source, tags, "timing") for i, (source, tags) in TIMING.items()]
+    rows += [(i, "", [], "negative") for i in NEGATIVE]
+    rows += [(i, "", [], "baseline") for i in BASELINE]
     return spark.createDataFrame(rows, SCHEMA)
 
 
