@@ -68,11 +68,24 @@ def test_later_faults_see_earlier_times(spark):
 @pytest.mark.parametrize("chunk", [None, 70])
 def test_default_placement(spark, chunk):
     df = clean(spark, 200, ("a", "b")).unionByName(clean(spark, 39, ("short",)))
-    got = rows(faults.default_windows(df, ["site"], chunk_rows=chunk), "site", "ord")
+    with pytest.raises(ValueError, match="1 series have fewer than 40 rows"):
+        faults.default_windows(df, ["site"], chunk_rows=chunk)
+    got = rows(faults.default_windows(df, ["site"], short="skip", chunk_rows=chunk), "site", "ord")
     assert [(r["site"], r["ord"], r["start_ns"], r["end_ns"]) for r in got] == [
         (s, i, at(40 * (i + 1)), at(40 * (i + 1) + 3)) for s in "ab" for i in range(4)]
 
 
+def test_every_item_has_a_window_or_is_an_error(spark):
+    df, spec = clean(spark, 120), [*faults.DEFAULT_SPEC, {"type": faults.STATUS_FAULT, "bad_value": 3.0}]
+    with pytest.raises(ValueError, match="item \\[4\\]"):
+        faults.inject_faults(df, ["site"], spec, faults.default_windows(df, ["site"]))
+    _, labels = faults.inject_faults(df, ["site"], spec, faults.default_windows(df, ["site"], len(spec)))
+    assert labels.count() == 5
+    with pytest.raises(ValueError):
+        detect_timing_faults(clean(spark, 30))
+    assert detect_timing_faults(clean(spark, 30), short="skip").labels.count() == 0
+
+
 @pytest.mark.parametrize("sizes", [{}, {"chunk_rows": 700, "chunk_cells": 500}])
 def test_whole_run_finds_the_faults_and_loses_two_rows(spark, sizes):
     result = detect_timing_faults(clean(spark, 5000), settings=Settings(n_estimators=40), **sizes)

@@ -131,3 +131,18 @@ def test_scaling_does_not_change_a_forest(outliers):
     scaled = scaled.withColumnRenamed("x_scaled", "x").withColumnRenamed("y_scaled", "y")
     np.testing.assert_allclose(plain, forest.detect(scaled, FEATURES, (), cfg).toPandas().sort_values("id")["score"])
     assert scaled.agg(F.count("x")).first()[0] == 205
+
+
+def test_model_names_do_not_collide(spark):
+    keys = [("a|b", "c"), ("a", "b|c"), ("a\\", "|b"), (None, "a"), ("a", None), ("\\N", "a")]
+    df = spark.createDataFrame(keys, "x string, y string")
+    names = [r[0] for r in df.select(forest.model_name(["x", "y"])).collect()]
+    assert len(set(names)) == len(keys)
+    assert spark.createDataFrame([("u", "v")], "x string, y string").select(forest.model_name(["x", "y"])).first()[0] == "u|v"
+
+
+@pytest.mark.parametrize("bad", [None, float("nan")])
+def test_missing_training_features_are_an_error(spark, bad):
+    df = spark.createDataFrame([(1.0, float(k)) for k in range(50)] + [(2.0, bad)], "x double, y double")
+    with pytest.raises(Exception, match="feature y is NULL or NaN"):
+        forest.detect(df, ["x", "y"]).collect()

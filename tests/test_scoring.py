@@ -187,3 +187,13 @@ def test_pooled_baseline(spark, clips):
     assert got[3]["channel_flagged"] == {"P001_f": True}
     assert got[4]["n_channels_checked"] == 1  # no model for the other suffix, so it was not checked
     assert {r["cohort"]: r["n_positive"] for r in rates.collect()}["timing"] == 1
+
+
+def test_one_long_window_among_many_short_ones(spark):
+    labels = [("a", 0, 10_000_000)] + [("b", k * 1000, k * 1000 + 10) for k in range(300)]
+    windows = spark.createDataFrame([(*w, "x", 0) for w in labels], "site string, start_ns long, end_ns long, fault_type string, ord int")
+    rows = spark.createDataFrame([(s, t) for s in "ab" for t in range(0, 320_000, 7)], "site string, ts_ns long")
+    got = evaluate.truth_mask(rows, windows, ["site"])
+    assert got.count() == rows.count()
+    assert got.where("truth").count() == sum(any(s == w and a <= t <= b for w, a, b in labels[(0 if s == "a" else 1 + t // 1000):][:2])
+                                             for s in "ab" for t in range(0, 320_000, 7))

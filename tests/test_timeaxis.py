@@ -190,3 +190,18 @@ def test_clean_rows_and_guard(spark):
     clean = timeaxis.clean_rows(df, ["d"], ["x"])
     assert [(r["site"], r["d"]) for r in clean.orderBy("site").collect()] == [("a", 0.0), ("b", 4.0)]
     assert [r["usable"] for r in rows(timeaxis.enough_rows(df, KEYS), "site")] == [True, False]
+
+
+def test_percentile_of_a_hot_key_with_an_outlier(spark):
+    rng = np.random.default_rng(12)
+    values = np.concatenate([8.33 + rng.normal(size=3000) * 1e-4, [86_400_000.0], np.full(50, 8.33)])
+    df = spark.createDataFrame([("a", float(v)) for v in values] + [("b", 1.0), ("b", 1.0), ("c", 5.0)], "k string, v double")
+    for share in (0.0, 0.5, 0.99, 1.0):
+        got = {r["k"]: r["p"] for r in series.percentile_per_key(df, ["k"], "v", share, "p", chunk_rows=1).collect()}
+        assert np.isclose(got["a"], np.quantile(values, share), rtol=1e-12) and got["b"] == 1.0 and got["c"] == 5.0
+
+
+def test_series_without_an_interval_are_listed(spark):
+    df = spark.createDataFrame([("one", 5, 0)] + [("same", 7, k) for k in range(5)] + [("fine", 10 * k, k) for k in range(5)], "k string, ts_ns long, seq long")
+    freq = timeaxis.sample_interval(df, ["k"])
+    assert {r["k"] for r in timeaxis.without_interval(df, ["k"], freq).collect()} == {"one", "same"}

@@ -12,6 +12,10 @@ from tickwise.schema import TS
 from tickwise.session import is_small, settle
 
 
+# Into how many time buckets the longest window is cut.
+BUCKETS_PER_WINDOW = 64
+
+
 def merge_windows(labels: DataFrame, by: Sequence[str]) -> DataFrame:
     """Join overlapping windows of each group into disjoint ones, so that a time lies in at most one of them."""
     ahead = Window.partitionBy(*by).orderBy("start_ns", "end_ns")
@@ -25,13 +29,14 @@ def merge_windows(labels: DataFrame, by: Sequence[str]) -> DataFrame:
 def match_windows(df: DataFrame, windows: DataFrame, keys: Sequence[str], how: str, time: str = TS) -> DataFrame:
     """Join rows with the windows that contain their time, as an equi-join on time buckets plus a range test.
 
-    A window is copied into the buckets it touches (two at most, as a bucket is as wide as the longest window), a row
-    has one bucket; so a hash join does it, by broadcast if the windows are few.  Columns: the row's, and ``start_ns``,
+    A window is copied into the buckets it touches (``BUCKETS_PER_WINDOW`` + 1 at most), a row has one bucket, so that a very
+    long window spreads over many join keys; so a hash join does it, by broadcast if the windows are few.  Columns: the row's, and ``start_ns``,
     ``end_ns`` and the rest of ``windows``.
     """
     keys = list(keys)
     windows = settle(windows)
-    width = int((windows.agg(F.max(F.col("end_ns") - F.col("start_ns"))).first()[0] or 0) + 1)
+    longest = int(windows.agg(F.max(F.col("end_ns") - F.col("start_ns"))).first()[0] or 0)
+    width = longest // BUCKETS_PER_WINDOW + 1
     touched = F.sequence(whole_floor_div(F.col("start_ns"), width), whole_floor_div(F.col("end_ns"), width))
     spread = windows.withColumn("_bucket", F.explode(touched))
     for key in keys:

@@ -23,7 +23,7 @@ DEFAULT_SPEC = (
     {"type": STATUS_FAULT, "bad_value": 1.0},
 )
 DEFAULT_ROWS = 4
-DEFAULT_MIN_ROWS = 40
+ROWS_PER_STEP = 8
 
 
 def within(start: Column, end: Column, time: Column | None = None) -> Column:
@@ -56,20 +56,28 @@ def corrupt_status(
     return df.withColumn(status, F.when(within(start, end), F.lit(float(bad_value))).otherwise(F.col(status)))
 
 
-def default_windows(df: DataFrame, keys: Sequence[str], *, hot="check", chunk_rows: int | None = None) -> DataFrame:
-    """One window per default fault and series, evenly spaced: rows i*step .. i*step+3 with step = n // 5.
+def default_windows(
+    df: DataFrame, keys: Sequence[str], items: int = len(DEFAULT_SPEC), *, short: str = "raise", hot="check",
+    chunk_rows: int | None = None,
+) -> DataFrame:
+    """One window per fault and series, evenly spaced: rows i*step .. i*step+3 with step = n // (items + 1).
 
-    Series under 40 rows get none.  Only the 8 border rows of each series leave the scan.
+    A series of fewer than 8 rows a step (40 for the default faults) has no room: that is an error, or with ``short="skip"`` it
+    gets no window.  Only the border rows of each window leave the scan.
     """
     keys = list(keys)
-    sizes = settle(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= DEFAULT_MIN_ROWS))
+    least = ROWS_PER_STEP * (items + 1)
+    sizes = settle(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+    if short != "skip" and not sizes.where(F.col("_n") < least).isEmpty():
+        raise ValueError(f"{sizes.where(F.col('_n') < least).count()} series have fewer than {least} rows")
+    sizes = sizes.where(F.col("_n") >= least)
     numbered = number_rows(df.select(*keys, TS, SEQ), keys, "_row", hot=hot, chunk_rows=chunk_rows)
-    step = F.call_function("div", F.col("_n"), F.lit(5))
+    step = F.call_function("div", F.col("_n"), F.lit(items + 1))
     placed = attach(numbered, sizes, keys).withColumn("_step", step)
     place = F.call_function("div", F.col("_row"), F.col("_step"))
     within_step = F.col("_row") - place * F.col("_step")
     border = placed.withColumn("_place", place).withColumn("_off", within_step).where(
-        F.col("_place").between(1, len(DEFAULT_SPEC)) & F.col("_off").isin(0, DEFAULT_ROWS - 1))
+        F.col("_place").between(1, items) & F.col("_off").isin(0, DEFAULT_ROWS - 1))
     return border.groupBy(*keys, "_place").agg(F.min(TS).alias("start_ns"), F.max(TS).alias("end_ns")).select(
         *keys, (F.col("_place") - 1).cast("int").alias("ord"), "start_ns", "end_ns")
 
@@ -104,6 +112,9 @@ def inject_faults(
             picks.append(F.max(F.when(F.col("ord") == i, F.col("start_ns"))).alias(f"_s{i}"))
             picks.append(F.max(F.when(F.col("ord") == i, F.col("end_ns"))).alias(f"_e{i}"))
         ends = settle(windows.groupBy(*keys).agg(*picks))
+        without = [i for i in range(len(spec)) if not ends.where(F.col(f"_s{i}").isNull() | F.col(f"_e{i}").isNull()).isEmpty()]
+        if without:
+            raise ValueError(f"some series have no window for item {without} of the faults")
         df = attach(df, ends, keys, "left")
     labels = []
     for i, item in enumerate(spec):

@@ -38,6 +38,7 @@ SPREAD_BELOW = 1_000_000
 ROWS_PER_TASK = 500_000
 GROW_NODES = 20_000_000
 NODE_BUDGET = 2_000_000
+STREAM_NODES = 10_000_000
 MODEL = "model"
 ROW_ID = "_row_id"
 NODES_SCHEMA = f"{MODEL} string, tree int, node int, feature int, threshold double, n long, path double"
@@ -78,7 +79,18 @@ def standard_scale(df: DataFrame, features: Sequence[str], keys: Sequence[str] =
 
 
 def model_name(keys: Sequence[str]):
-    return F.concat_ws("|", *[F.col(k).cast("string") for k in keys]) if keys else F.lit("all")
+    """One string per distinct keys: parts joined by ``|``, which is escaped inside them; NULL is ``\\N``."""
+    if not keys:
+        return F.lit("all")
+    parts = [F.replace(F.replace(F.col(k).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for k in keys]
+    return F.concat_ws("|", *[F.coalesce(part, F.lit("\\N")) for part in parts])
+
+
+def _known(feature: str):
+    """The feature as a double; a missing one would silently switch the feature off in every node that holds its row."""
+    value = F.col(feature).cast("double")
+    missing = F.raise_error(F.lit(f"feature {feature} is NULL or NaN in a training row")).cast("double")
+    return F.when(value.isNull() | F.isnan(value), missing).otherwise(value)
 
 
 def _matrix(batch: pa.RecordBatch, features: Sequence[str]) -> np.ndarray:
@@ -262,7 +274,7 @@ def _prepare(df: DataFrame, features: Sequence[str], keys: Sequence[str], cfg: S
     if cfg.max_samples < 1.0:
         plain = [c for c, t in named.dtypes if not t.startswith("map")]
         named = named.withColumn(ROW_ID, F.xxhash64(*plain))
-    return named.withColumns({f: F.col(f).cast("double") for f in features})
+    return named.withColumns({f: _known(f) for f in features})
 
 
 def _batches(sizes: list[tuple[str, int]], cfg: Settings) -> Iterator[list[tuple[str, int]]]:
@@ -379,9 +391,12 @@ def add_scores(df: DataFrame, nodes: DataFrame, features: Sequence[str], n_trees
     """Add ``score`` in (0, 1]; rows of a key without a model are left out.
 
     The node table is sent to every task while it is small. Beyond that, rows and nodes meet in a cogroup by model, with
-    each big model's rows split over several groups and its nodes copied to them.
+    each big model's rows split over several groups and its nodes copied to them.  A stream cannot be cogrouped: its nodes are
+    always sent, and more than ``STREAM_NODES`` are an error.
     """
-    if is_small(nodes, NODE_BUDGET):
+    if df.isStreaming and not is_small(nodes, STREAM_NODES):
+        raise ValueError(f"a stream is scored against at most {STREAM_NODES} nodes; split the models over several streams")
+    if df.isStreaming or is_small(nodes, NODE_BUDGET):
         table = nodes.toArrow().to_pandas()
         trees = [_trees_from(part, m, n_trees) for m, part in table.groupby(MODEL)]
         return _score_by_broadcast(df, trees, features, n_trees, keys)
@@ -424,8 +439,9 @@ def _score_by_cogroup(
     named = df.withColumn(MODEL, model_name(keys))
     fields = ", ".join(f"`{n}` {t}" for n, t in named.dtypes)
     sizes = settle(named.groupBy(MODEL).agg(F.ceil(F.count(F.lit(1)) / LOCAL_ROWS).cast("int").alias("_parts")))
-    plain = [c for c, t in named.dtypes if not t.startswith("map")]
-    spread = attach(named, sizes, [MODEL]).withColumn("_part", F.pmod(F.xxhash64(*plain), F.col("_parts")).cast("int"))
+    # By row number, not by value: equal rows go to different parts like any others.
+    spread = attach(named, sizes, [MODEL]).withColumn(
+        "_part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_parts")).cast("int"))
     copies = attach(nodes, sizes, [MODEL]).withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
 

@@ -194,8 +194,8 @@ def percentile_per_key(
     """Exact percentile with linear interpolation, one row per key; NULL values do not count.
 
     Short series are sorted, each in one task, and the two values around the wanted rank are picked.  For a hot key the
-    equal values are counted first (measured gaps have few different ones), then bins of values, and just the bins that
-    hold the wanted ranks are looked into.
+    equal values are counted first (measured gaps have few different ones), then bins of values, and the bin that
+    holds the wanted ranks is divided again until it is one value, however uneven the values are.
     """
     keys = list(keys)
     if isinstance(hot, str):
@@ -219,25 +219,6 @@ def percentile_per_key(
     total = short.withColumn("_rank", (F.sum("_c").over(whole) - 1) * F.lit(share))
     total = total.withColumn("_low", F.floor("_rank")).withColumn("_high", F.ceil("_rank")).withColumn(
         "_upto", F.sum("_c").over(whole.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
-    spread = values.groupBy(*keys).agg(
-        F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    rank = (F.col("_n") - 1) * F.lit(share)
-    spread = settle(
-        spread.withColumn("_rank", rank).withColumn("_low", F.floor("_rank")).withColumn("_high", F.ceil("_rank")))
-    scaled = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * PERCENTILE_BINS)
-    slot = F.when(F.col("_hi") > F.col("_lo"), F.least(scaled, F.lit(PERCENTILE_BINS - 1))).otherwise(F.lit(0))
-    binned = attach(values, spread, keys).withColumn("_slot", slot)
-    upto = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
-    counted = (
-        binned.groupBy(*keys, "_slot", "_low", "_high").agg(F.sum("_c").alias("_c"))
-        .withColumn("_upto", F.sum("_c").over(upto))
-    )
-    wanted = (F.col("_upto") > F.col("_low")) & (F.col("_upto") - F.col("_c") <= F.col("_high"))
-    slots = settle(counted.where(wanted).select(*keys, "_slot", (F.col("_upto") - F.col("_c")).alias("_skip")))
-    along = Window.partitionBy(*keys, "_slot").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = attach(binned, slots, [*keys, "_slot"]).withColumn(
-        "_upto", F.col("_skip") + F.sum("_c").over(along))
-
     def at(target: str) -> Column:
         hit = (F.col("_upto") > F.col(target)) & (F.col("_upto") - F.col("_c") <= F.col(target))
         return F.max(F.when(hit, F.col("_v")))
@@ -246,4 +227,41 @@ def percentile_per_key(
         low, high, rest = at("_low"), at("_high"), F.max(F.col("_rank") - F.col("_low"))
         return d.groupBy(*keys).agg((low + (high - low) * rest).alias(name))
 
-    return between(total).unionByName(between(ranked))
+    return between(total).unionByName(_narrowed(values, keys, share, name))
+
+
+def _narrowed(values: DataFrame, keys: Sequence[str], share: float, name: str) -> DataFrame:
+    """The percentile of hot keys from counted values (``_v``, ``_c``), without ever bringing a bin's values together.
+
+    Bins of equal width are counted with their least and largest value. If the two wanted ranks fall into two bins, these
+    values are the answer; if into one, that bin is divided again, until it holds a single value.
+    """
+    keys = list(keys)
+    rank = (F.col("_n") - 1) * F.lit(share)
+    state = values.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    state = settle(state.select(*keys, "_lo", "_hi", F.lit(0).cast("long").alias("_skip"), rank.alias("_rank")))
+    found = None
+    while found is None or not state.isEmpty():
+        inside = attach(values, state, keys).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+        scaled = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * PERCENTILE_BINS)
+        slot = F.when(F.col("_hi") > F.col("_lo"), F.least(scaled, F.lit(PERCENTILE_BINS - 1))).otherwise(F.lit(0))
+        along = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
+        bins = inside.withColumn("_slot", slot).groupBy(*keys, "_slot", "_skip", "_rank").agg(
+            F.sum("_c").alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        bins = bins.withColumn("_upto", F.col("_skip") + F.sum("_c").over(along))
+
+        def at(target: Column, what: Column) -> Column:
+            return F.max(F.when((F.col("_upto") > target) & (F.col("_upto") - F.col("_c") <= target), what))
+
+        low, high = F.floor("_rank"), F.ceil("_rank")
+        turn = settle(bins.groupBy(*keys, "_rank").agg(
+            at(low, F.col("_slot")).alias("_a"), at(high, F.col("_slot")).alias("_b"), at(low, F.col("_min")).alias("_lo"),
+            at(low, F.col("_max")).alias("_hi"), at(high, F.col("_min")).alias("_next"),
+            at(low, F.col("_upto") - F.col("_c")).alias("_skip")))
+        apart, single = F.col("_a") != F.col("_b"), F.col("_lo") == F.col("_hi")
+        upper = F.when(apart, F.col("_next")).otherwise(F.col("_hi"))
+        answer = F.col("_hi") + (upper - F.col("_hi")) * (F.col("_rank") - low)
+        ready = turn.where(apart | single).select(*keys, answer.alias(name))
+        found = ready if found is None else found.unionByName(ready)
+        state = turn.where(~(apart | single)).select(*keys, "_lo", "_hi", "_skip", "_rank")
+    return found

@@ -90,6 +90,12 @@ def grid_bounds(df: DataFrame, keys: Sequence[str], freq_ns: int | DataFrame = S
     return settle(usable.withColumn("n_cells", cells).drop("_t1"))
 
 
+def without_interval(df: DataFrame, keys: Sequence[str], freq_ns: DataFrame) -> DataFrame:
+    """The series that a grid leaves out, as they have no usable sampling interval: a single time, or most times equal."""
+    by = [k for k in keys if k in freq_ns.columns]
+    return df.select(*keys).distinct().join(freq_ns, by, "left").where(F.coalesce("freq_ns", F.lit(0)) < 1).select(*keys)
+
+
 def regular_grid(bounds: DataFrame, keys: Sequence[str], chunk_cells: int | None = None) -> DataFrame:
     """Every cell of every series' grid. Cells are generated chunk by chunk, so a long grid is made by many tasks."""
     size = chunk_cells or CHUNK_CELLS
