@@ -9,8 +9,8 @@ from tickwise.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("4", 4)
+def spark(tmp_path_factory):
+    session = local_session("4", 4, str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     return session
 

@@ -11,7 +11,7 @@ from tickwise.operators import evaluate, forest
 from tickwise.operators.timeaxis import sample_interval
 from tickwise.plans.site import feature_rows
 from tickwise.schema import SEQ, TS, feature_names
-from tickwise.session import settle
+from tickwise.session import keep, settle
 from tickwise.sources.archives import select_channels
 
 CHANNEL = ("sigid", "pmu", "suffix")
@@ -42,7 +42,8 @@ def channel_verdicts(
     readings: DataFrame, manifest: DataFrame, window: int = 10, settings: forest.Settings = forest.Settings(), **sizes
 ) -> DataFrame:
     """One verdict per selected channel, each judged by a model fitted on itself."""
-    chosen = select_channels(readings, manifest)
+    # Archives are opened once; everything else reads what was selected.
+    chosen = keep(select_channels(readings, manifest))
     channels = chosen.select(*CHANNEL).distinct()
     rows = settle(recording_rows(chosen, window, **sizes))
     usable = _usable(rows)
@@ -65,7 +66,7 @@ def fit_baseline(
     readings: DataFrame, manifest: DataFrame, window: int = 10, settings: forest.Settings = forest.Settings(), **sizes
 ) -> forest.Forest:
     """One model per measurement suffix, fitted once on the pooled channels of the manifest's recordings."""
-    chosen = select_channels(readings, manifest.withColumn("tags", F.array().cast("array<string>")))
+    chosen = keep(select_channels(readings, manifest.withColumn("tags", F.array().cast("array<string>"))))
     rows = settle(recording_rows(chosen, window, **sizes))
     pooled = rows.join(_usable(rows), list(CHANNEL), "left_semi")
     return forest.fit(pooled, FEATURES, ["suffix"], settings)
@@ -81,7 +82,7 @@ def baseline_verdicts(
 ) -> DataFrame:
     """One verdict per channel with a baseline model, by that model's fixed cutoff."""
     modelled = baseline.meta.select(F.col(forest.MODEL).alias("suffix"))
-    chosen = covered_channels(select_channels(readings, manifest), modelled)
+    chosen = keep(covered_channels(select_channels(readings, manifest), modelled))
     channels = chosen.select(*CHANNEL).distinct()
     rows = settle(recording_rows(chosen, window, **sizes))
     scored = forest.score(rows.join(_usable(rows), list(CHANNEL), "left_semi"), baseline, ["suffix"])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tickwise.operators import evaluate, faults, features, forest, timeaxis
 from tickwise.operators.series import attach, hot_series, over_series
 from tickwise.schema import CELL, FILL_LIMIT, FILLED, GAP, SAMPLE_INTERVAL_NS, SEQ, STATUS, TS, feature_names
-from tickwise.session import settle
+from tickwise.session import keep, settle
 from tickwise.sources.channels import default_status
 
 
@@ -25,6 +25,14 @@ class SiteResult:
     by_fault_type: DataFrame
     caught: DataFrame
     features: list[str]
+    rows: DataFrame
+    keys: list[str]
+    settings: forest.Settings
+
+    def model(self) -> forest.Forest:
+        """The fitted models of this run, for scoring later data: a forest is a function of its rows and the seed, so they are made when
+        asked for and flag the run's rows as the run did."""
+        return forest.fit(self.rows, self.features, self.keys, self.settings)
 
 
 def feature_rows(
@@ -80,6 +88,7 @@ def detect_timing_faults(
     settings: forest.Settings = forest.Settings(),
     spec: Sequence[dict] | None = faults.DEFAULT_SPEC,
     windows: DataFrame | None = None,
+    short: str = "raise",
     freq_ns: int | DataFrame = SAMPLE_INTERVAL_NS,
     chunk_rows: int | None = None,
     chunk_cells: int | None = None,
@@ -87,15 +96,17 @@ def detect_timing_faults(
     """Put labelled faults into each series, detect, and score the detection; one model per series.
 
     ``df`` has ``keys``, ``ts_ns``, ``seq``, the target and possibly a status column.  Without ``windows`` the default
-    placement is used; items of ``spec`` may bring their own ``start_ns`` and ``end_ns`` instead.
+    placement is used, and a series too short for it is an error or, with ``short="skip"``, has no faults; items of
+    ``spec`` may bring their own ``start_ns`` and ``end_ns`` instead.
     """
     keys = list(keys)
-    df = default_status(df, status)
+    # Faults, intervals, gaps and grid all start from these rows, so their source is read once.
+    df = keep(default_status(df, status))
     hot = hot_series(df, keys, chunk_rows)
     spec = list(spec or ())
     if spec:
         if windows is None and "start_ns" not in spec[0]:
-            windows = faults.default_windows(df, keys, hot=hot, chunk_rows=chunk_rows)
+            windows = faults.default_windows(df, keys, len(spec), short=short, hot=hot, chunk_rows=chunk_rows)
         df, labels = faults.inject_faults(df, keys, spec, windows, status=status, hot=hot, chunk_rows=chunk_rows)
     else:
         labels = settle(df.select(*keys).limit(0).selectExpr(
@@ -109,4 +120,4 @@ def detect_timing_faults(
     return SiteResult(
         scored, labels, evaluate.precision_recall(judged, by=keys),
         evaluate.share_by_fault_type(scored, labels, keys, by=keys),
-        evaluate.caught_by_fault_type(scored, labels, keys, by=keys), names)
+        evaluate.caught_by_fault_type(scored, labels, keys, by=keys), names, rows, keys, settings)

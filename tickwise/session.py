@@ -1,8 +1,9 @@
-"""Session settings and the two ways this package cuts lineage."""
+"""Session settings and the ways this package cuts lineage."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,20 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 BROADCAST_ROWS = 500_000
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cores: str = "*", shuffle_partitions: int = 8, checkpoint_dir: str | None = None) -> SparkSession:
     """A single-machine session for tests and the benchmark. A cluster brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tickwise")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .getOrCreate()
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    return builder.getOrCreate()
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -47,6 +50,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into Parquet in the shared folder: for whole tables that several steps read, each only some columns of."""
+    path = f"{checkpoint_folder(df.sparkSession).rstrip('/')}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def is_small(settled: DataFrame, max_rows: int | None = None) -> bool:
     """Whether an already settled table has few enough rows to be broadcast."""
     bound = BROADCAST_ROWS if max_rows is None else max_rows

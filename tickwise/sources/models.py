@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from tickwise.operators.forest import MODEL, Forest, Settings
+from tickwise.operators.forest import MODEL, NODES_SCHEMA, Forest, Settings
 
 
 def save_forest(forest: Forest, path: str) -> None:
-    """Node and meta tables under ``path``; an existing model there is never overwritten."""
-    forest.nodes.write.mode("errorifexists").partitionBy(MODEL).parquet(f"{path}/nodes")
+    """Node and meta tables under ``path``, nodes in order of their model so that a reader of some models skips the rest; an
+    existing model there is never overwritten."""
+    nodes = forest.nodes.repartitionByRange(MODEL, "tree").sortWithinPartitions(MODEL, "tree", "node")
+    nodes.write.mode("errorifexists").parquet(f"{path}/nodes")
     forest.meta.write.mode("errorifexists").parquet(f"{path}/meta")
 
 
 def load_forest(spark: SparkSession, path: str) -> Forest:
     """A forest that scores exactly as the one that was saved."""
     meta = spark.read.parquet(f"{path}/meta")
-    nodes = spark.read.schema(
-        "tree int, node int, feature int, threshold double, n long, path double, model string").parquet(f"{path}/nodes")
+    nodes = spark.read.schema(NODES_SCHEMA).parquet(f"{path}/nodes")
     first = meta.first()
     cfg = Settings(
         first["n_estimators"], first["contamination"], first["seed"], first["max_samples"], first["max_depth"])

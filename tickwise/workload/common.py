@@ -114,7 +114,7 @@ sel as (select r.*, man.cohort from r join man using (sigid)
 def gap_ctes(source: str, keys: Sequence[str], out: str = "gp") -> str:
     """Gaps over raw samples with the first one of a series given the median."""
     k = ", ".join(keys)
-    return f"""{out}0 as (select *, (ts_ns - lag(ts_ns) over (partition by {k} order by ts_ns, seq)) / 1e9 * 1000 as g
+    return f"""{out}0 as materialized (select *, (ts_ns - lag(ts_ns) over (partition by {k} order by ts_ns, seq)) / 1e9 * 1000 as g
   from {source}),
 {out}m as (select {k}, quantile_cont(g, 0.5) as med from {out}0 group by {k}),
 {out} as (select {out}0.*, coalesce(g, med) as gap_ms from {out}0 join {out}m using ({k}))"""
@@ -133,13 +133,13 @@ def grid_ctes(
         f"last_value({c} ignore nulls) over (partition by {k} order by cell rows between {limit} preceding and current row)"
         f" as {c}" for c in cols)
     same = " and ".join(f"g.{x} = b.{x}" for x in keys)
-    return f"""{out}d as (select * from (select *, row_number() over (partition by {k}, ts_ns order by seq) as dup
+    return f"""{out}d as materialized (select * from (select *, row_number() over (partition by {k}, ts_ns order by seq) as dup
   from {source}) where dup = 1),
-{out}b as (select {k}, min(ts_ns) as t0, max(ts_ns) as t1, min({freq}) as f from {source} group by {k}),
-{out}c as (select {out}d.*, t0, t1, f, (ts_ns - t0) // f as c0 from {out}d join {out}b using ({k})),
+{out}b as materialized (select {k}, min(ts_ns) as t0, max(ts_ns) as t1, min({freq}) as f from {source} group by {k}),
+{out}c as materialized (select {out}d.*, t0, t1, f, (ts_ns - t0) // f as c0 from {out}d join {out}b using ({k})),
 {out}e as (select *, c0 as cell from {out}c union all by name select *, c0 + 1 as cell from {out}c
   where t0 + (c0 + 1) * f <= t1),
-{out}r as (select *, row_number() over (partition by {k}, cell order by abs(ts_ns - t0 - cell * f), ts_ns desc) as rn
+{out}r as materialized (select *, row_number() over (partition by {k}, cell order by abs(ts_ns - t0 - cell * f), ts_ns desc) as rn
   from {out}e where abs(ts_ns - t0 - cell * f) <= f // 2),
 {out}g as (select {k}, t0, f, unnest(range(0, (t1 - t0) // f + 1)) as cell from {out}b),
 {out}n as (select {", ".join("g." + x for x in keys)}, g.cell, g.t0 + g.cell * g.f as ts_ns,

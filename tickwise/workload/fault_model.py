@@ -73,9 +73,9 @@ def fault_compose(spark, folder):
     return changed.select("user_id", SEQ, TS, "value", "status")
 
 
-def interval_sql(source: str) -> str:
-    return f"""select user_id, trunc(quantile_cont(step::double, 0.5))::bigint as f from (
-  select user_id, ts_ns - lag(ts_ns) over (partition by user_id order by seq) as step from {source}) group by user_id"""
+def interval_sql(source: str, key: str = "user_id") -> str:
+    return f"""select {key}, trunc(quantile_cont(step::double, 0.5))::bigint as f from (
+  select {key}, ts_ns - lag(ts_ns) over (partition by {key} order by seq) as step from {source}) group by {key}"""
 
 
 FAULT_LABELS = f"""{COMPOSED}, i1 as ({interval_sql('s')}), i3 as ({interval_sql('f2')}),
@@ -96,7 +96,7 @@ p as (select user_id, ts_ns, r // (n // 5) as place, r % (n // 5) as off from n
 select user_id, (place - 1)::int as ord, min(ts_ns) as start_ns, max(ts_ns) as end_ns from p
 where place between 1 and 4 and off in (0, 3) group by user_id, place""")
 def default_windows(spark, folder):
-    return faults.default_windows(samples(spark, folder), USER)
+    return faults.default_windows(samples(spark, folder), USER, short="skip")
 
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -156,10 +156,11 @@ def detect(spark, folder):
     return found.select(*LINE_KEYS, r6("score"), "flagged")
 
 
-@query("iforest_full")
+@query("iforest_full", f"""with {LINES}, {forest_ctes('li', MEASURES, 'one', 100, 10)}, {flag_ctes('fo_scored', 0.01)}
+select {", ".join(LINE_KEYS)}, round(score, 6) as score, flagged from fl join li using (rid)""")
 def iforest_full(spark, folder):
     """The forest at its real size: 100 trees over all rows."""
-    return forest.detect(_lines(spark, folder), MEASURES).select(*LINE_KEYS, "score", "flagged")
+    return forest.detect(_lines(spark, folder), MEASURES).select(*LINE_KEYS, r6("score"), "flagged")
 
 
 DIMENSIONS = 64
