@@ -36,11 +36,11 @@ def components(links: DataFrame) -> DataFrame:
     """
     ordered = links.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = stored(ordered, "links")
-    before = _state(now)
-    while before[0]:
+    before = None
+    while True:
         now = stored(_small_star(_large_star(now).distinct()).distinct(), "links")
         after = _state(now)
-        if after == before:
+        if after == before or not after[0]:
             break
         before = after
     # Every node now points straight at the least of its component, which has no row of its own yet.

@@ -4,11 +4,11 @@ A signature of 2 * PERMUTATIONS values costs PERMUTATIONS hash evaluations; leas
 Jaccard similarity, and together vary less than as many least values of half the permutations. BANDS bands of values_per_band values each
 make the buckets; with 32 bands of 4, a pair at similarity 0.8 shares no bucket with probability 5e-8.
 
-Links are found without emitting the pairs of a bucket. Documents with equal shingle sets are one class from the start. In each round
-a bucket names a few *pivots*, which are compared with those of its members that are not yet in the pivot's component;
-a pivot that has been compared with all leaves the bucket, and a bucket ends when its members are one component. Each link is
-confirmed on the full sets. A group of thousands of near copies so costs about one comparison a member, and no link
-that joins two components is left out, as every pair of a bucket is compared unless it already is in one component.
+Links are found without emitting the pairs of a bucket. Documents with equal shingle sets are one class from the start. First
+every member of a bucket is compared with the bucket's least document; in a group of near copies that links nearly all. What then still is in
+different components is compared in tiles, all members of a bucket against those outside its largest component. Each
+link is confirmed on the full sets, and none that joins two components is left out, as every pair of a bucket is compared unless it
+already is in one component.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.llm.components import components
@@ -26,8 +26,8 @@ from tickwise.llm.words import mix, shingles, slices, split, strings
 
 PERMUTATIONS = 64
 BANDS = 32
-PIVOTS = 4
-SALTS = 64
+TILE_ROWS = 512
+TILE_SHINGLES = 16_384
 _SEED = np.random.default_rng(7_919)
 _FACTORS = _SEED.integers(0, 1 << 31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _SHIFTS = _SEED.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32)
@@ -89,49 +89,87 @@ def _signed(rows: Iterator[pa.RecordBatch], size: int, with_sets: bool) -> Itera
             yield batch(_SIGNED, [ids, count, a.view(np.int64), b.view(np.int64), lists])
 
 
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose full sets are similar enough."""
+    left = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su"))
+    right = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv"))
+    both = F.size(F.array_intersect("su", "sv"))
+    close = F.lit(100) * both >= F.lit(percent) * (F.size("su") + F.size("sv") - both)
+    return stored(pairs.join(right, "v").join(left, "u").where(close).select("u", "v"), "links")
+
+
+def _tile(members: pa.Table, others: pa.Table, percent: int) -> pa.Table:
+    """Links between some members of a bucket and some of those outside its largest component.
+
+    The sizes of all intersections are one product of two 0/1 matrices over the shingles that both sides have, taken in
+    runs of TILE_SHINGLES columns.
+    """
+    sides = []
+    for t in (members, others):
+        lists = t.column("shingles").combine_chunks()
+        sides.append((np.repeat(np.arange(t.num_rows), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()))
+    common = np.intersect1d(sides[0][1], sides[1][1])
+    both = np.zeros((members.num_rows, others.num_rows), np.float32)
+    for lo in range(0, len(common), TILE_SHINGLES):
+        some = common[lo:lo + TILE_SHINGLES]
+        grids = []
+        for (row, value), t in zip(sides, (members, others), strict=True):
+            at = np.minimum(np.searchsorted(some, value), len(some) - 1)
+            held = some[at] == value
+            grid = np.zeros((t.num_rows, len(some)), np.float32)
+            grid[row[held], at[held]] = 1
+            grids.append(grid)
+        both += grids[0] @ grids[1].T
+    n, m = (t.column("n").to_numpy() for t in (members, others))
+    close = 100 * both >= percent * (n[:, None] + m[None, :] - both)
+    close &= members.column("component").to_numpy()[:, None] != others.column("component").to_numpy()[None, :]
+    i, j = np.nonzero(close)
+    a, b = members.column("doc_id").to_numpy()[i], others.column("doc_id").to_numpy()[j]
+    return pa.table({"u": pa.array(np.minimum(a, b)), "v": pa.array(np.maximum(a, b))})
+
+
+def _across(pending: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of a bucket that are in different components (columns key, doc_id, n, component).
+
+    All members meet all those outside the bucket's largest component, in tiles of TILE_ROWS by TILE_ROWS, so that a very large
+    bucket is many tasks and no pair is a row unless it is a link.
+    """
+    share = pending.groupBy("key", "component").agg(F.count("*").alias("share"))
+    mixed = share.groupBy("key").agg(F.count("*").alias("components"), F.sum("share").alias("size"), F.max(F.struct("share", "component")).alias("most"))
+    mixed = mixed.where("components > 1").select(
+        "key", F.col("most.component").alias("largest"), F.ceil(F.col("size") / TILE_ROWS).alias("chunks"),
+        F.ceil((F.col("size") - F.col("most.share")) / TILE_ROWS).alias("blocks"))
+    whole = pending.join(mixed, "key").join(sets, "doc_id")
+    chunk, block = F.pmod(F.xxhash64("doc_id"), F.col("chunks")), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("blocks"))
+    kept = ["key", "doc_id", "n", "component", "shingles"]
+    members = whole.select(*kept, chunk.alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    # Aliases tell the two sides of the cogroup apart.
+    others = whole.where(F.col("component") != F.col("largest")).select(
+        *[F.col(c).alias(c) for c in kept], F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), block.alias("block"))
+    tile = ["key", "chunk", "block"]
+    return members.groupBy(*tile).cogroup(others.groupBy(*tile)).applyInArrow(
+        lambda a, b: _tile(a, b, percent), "u long, v long").distinct()
+
+
 def _links(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
     """Component of every class representative that has a link to another; ``members``: key, doc_id, n."""
-    spark = docs.sparkSession
-    shared = members.groupBy("key").agg(F.count("*").alias("in_bucket")).where("in_bucket > 1").select("key")
-    pending = stored(members.join(shared, "key"), "buckets").withColumn("component", F.col("doc_id"))
+    buckets = members.groupBy("key").agg(F.count("*").alias("in_bucket"), F.min(F.struct("doc_id", "n")).alias("head"))
+    buckets = buckets.where("in_bucket > 1").select("key", F.col("head.doc_id").alias("a"), F.col("head.n").alias("n_a"))
+    pending = stored(members.join(buckets, "key"), "buckets")
     active = stored(pending.select("doc_id").distinct(), "active")
     wanted = F.broadcast(active) if small_enough(active, 16) else active
     sets = stored(documents_view(docs).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(
         lambda rows: _signed(rows, size, True), "doc_id long, shingles array<long>"), "sets")
-    found = None
-    pivots = PIVOTS
-    while True:
-        # Members of small components first: what is left in the end are a few documents against one large component.
-        share = pending.groupBy("key", "component").agg(F.count("*").alias("share"))
-        counts = share.groupBy("key").agg(F.count("*").alias("components")).where("components > 1").drop("components")
-        share = share.join(counts, "key")
-        order = Window.partitionBy("key", "salt").orderBy("share", "doc_id")
-        # The pivots of a bucket in two rounds, so that a very large bucket is never sorted in one task.
-        first = pending.join(share, ["key", "component"]).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-        first = first.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots)
-        order = Window.partitionBy("key").orderBy("share", "doc_id")
-        leaders = first.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots)
-        heads = stored(leaders.select("key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("component_a")), "pivots")
-        if heads.isEmpty():
-            break
-        near = (F.lit(100) * F.least("n", "n_a") >= F.lit(percent) * F.greatest("n", "n_a"))
-        pairs = (pending.join(heads, "key").where((F.col("component") != F.col("component_a")) & near)
-                 .select(F.least("a", "doc_id").alias("u"), F.greatest("a", "doc_id").alias("v")).distinct())
-        left = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su"))
-        right = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv"))
-        both = F.size(F.array_intersect("su", "sv"))
-        close = F.lit(100) * both >= F.lit(percent) * (F.size("su") + F.size("sv") - both)
-        links = stored(pairs.join(right, "v").join(left, "u").where(close).select("u", "v"), "links")
-        found = links if found is None else found.unionByName(links)
-        label = components(found)
-        done = heads.select("key", F.col("a").alias("doc_id"))
-        rest = pending.drop("component").join(done, ["key", "doc_id"], "left_anti")
-        rest = rest.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        pending = stored(rest.withColumn("component", F.coalesce("component", "doc_id")), "buckets")
-        pivots *= 4
-    if found is None:
-        return spark.createDataFrame([], "node long, component long")
-    return components(found)
+    # First all against the least document of their bucket, which in a group of near copies links nearly all.
+    near = F.lit(100) * F.least("n", "n_a") >= F.lit(percent) * F.greatest("n", "n_a")
+    first = pending.where(F.col("doc_id") != F.col("a")).where(near)
+    found = _confirmed(first.select(F.col("a").alias("u"), F.col("doc_id").alias("v")).distinct(), sets, percent)
+    label = stored(components(found), "labels")
+    # Then what still is in different components; the least document has met all others.
+    rest = pending.where(F.col("doc_id") != F.col("a")).select("key", "doc_id", "n")
+    rest = rest.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    more = stored(_across(rest.withColumn("component", F.coalesce("component", "doc_id")), sets, percent), "links")
+    return label if more.isEmpty() else stored(components(found.unionByName(more)), "labels")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -157,8 +195,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     split_ids = number.where("doc_id is not null").groupBy("doc_id").agg(F.min("class_id").alias("u"), F.max("class_id").alias("v")).where("u <> v")
     if not split_ids.isEmpty():
         every = number.where("doc_id is not null").select(F.col("doc_id").alias("u"), F.col("class_id").alias("v")).distinct()
-        label = components(every.unionByName(label.select(F.col("node").alias("u"), F.col("component").alias("v"))))
-    label = stored(label, "labels")
+        label = stored(components(every.unionByName(label.select(F.col("node").alias("u"), F.col("component").alias("v")))), "labels")
     out = number.join(label, number["class_id"] == label["node"], "left")
     component = F.coalesce("component", "class_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
