@@ -47,6 +47,14 @@ def chunks(items: Sequence, size: int) -> Iterator[Sequence]:
         yield items[lo:lo + size]
 
 
+def free_name(columns: Sequence[str], wanted: str) -> str:
+    """``wanted``, with underscores before it until no column has that name."""
+    taken = {c.lower() for c in columns}
+    while wanted in taken:
+        wanted = "_" + wanted
+    return wanted
+
+
 def small_enough(df: DataFrame, row_bytes: object, limit: int | None = None) -> bool:
     """Whether a stored table's rows, at ``row_bytes`` each, may be sent to every executor."""
     limit = BROADCAST_BYTES if limit is None else limit

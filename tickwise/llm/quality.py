@@ -11,7 +11,7 @@ first, so that a host with a third of all rows costs no more than others.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.llm.frames import arrow_schema, column, small_enough, stored
+from tickwise.llm.frames import arrow_schema, column, free_name, small_enough, stored
 from tickwise.llm.words import Words, slices, split, strings
 
 TRAIN_ROWS = 20_000
@@ -127,13 +127,6 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Classifie
     return Classifier(x, found["quality"].to_numpy().astype(float))
 
 
-def _free_name(columns: Sequence[str], wanted: str) -> str:
-    taken = {c.lower() for c in columns}
-    while wanted in taken:
-        wanted = "_" + wanted
-    return wanted
-
-
 def with_logit(docs: DataFrame, model: Classifier, name: str = "_quality_logit") -> DataFrame:
     """``docs`` with the classifier's log-odds of each whole text as a further column; null text counts as empty."""
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
@@ -196,7 +189,7 @@ def judge(docs: DataFrame, labels: DataFrame, host: object = None, path: object
     added = ("quality_logit", "host_rate", "path_rate", "quality_score", "quality_keep")
     docs = docs.select(*[c for c in docs.columns if c.lower() not in added])
     model = fit(docs, labels, rows)
-    h, p = _free_name(docs.columns, "_host"), _free_name(docs.columns, "_path")
+    h, p = free_name(docs.columns, "_host"), free_name(docs.columns, "_path")
     need = docs.select("doc_id", F.col("text").cast("string").alias("text"), host.cast("string").alias("host"), path.cast("string").alias("path"))
     own = stored(with_logit(need, model).drop("text"), "quality")
     known = labels.where("quality is not null and doc_id is not null").select(
