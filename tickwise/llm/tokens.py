@@ -12,7 +12,7 @@ from tickwise.llm.words import process_state, slices, split, strings
 WORD_BPE = "word_bpe_49k.json"
 END_ID = 2
 _TABLE_BITS = 21
-_POOL_IDS = 6_000_000
+_POOL_IDS = 3_000_000
 
 
 def vocabulary(name: str = WORD_BPE) -> str:
