@@ -81,6 +81,8 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
         hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + most, "right")) - 1)
         yield lo, min(hi, n)
         lo = hi
+    # Python workers are used again: what the batch needed goes back to the system.
+    pa.default_memory_pool().release_unused()
 
 
 def offsets(column: pa.Array) -> np.ndarray:
