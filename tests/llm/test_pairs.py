@@ -158,6 +158,19 @@ def test_repeated_passages_are_found_and_cut(spark):
     assert left[7]["n_chars"] == len(left[7]["text"]) and left[1]["text"] == docs[1] and left[50]["text"] is None
 
 
+@pytest.mark.parametrize("gap", [0, 5, 40])
+def test_each_occurrence_in_the_later_document_is_cut(spark, gap):
+    rng = random.Random(31)
+    shared = sentence(rng, 60)
+    own = [sentence(rng, gap) for _ in range(4)]
+    docs = {1: sentence(rng, 40) + " " + shared + " " + sentence(rng, 40),
+            2: " ".join(f"{o} {shared}" for o in own[:3]) + " " + own[3], 3: "the " * 60, 4: "the " * 700 + sentence(rng, 30)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(2)
+    left = {r["doc_id"]: r["text"] for r in windows.without_repeats(df).collect()}
+    assert left.get(2, "").split() == " ".join(own).split() and left[1] == docs[1]
+    assert left[4].split() == docs[4].split()[700:]
+
+
 def test_repeated_passages_of_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert windows.repeated_passages(none).count() == 0 and windows.without_repeats(none).count() == 0
