@@ -171,6 +171,20 @@ def test_each_occurrence_in_the_later_document_is_cut(spark, gap):
     assert left[4].split() == docs[4].split()[700:]
 
 
+def test_a_frequent_line_hides_no_shared_passage(spark):
+    rng = random.Random(5)
+    line = sentence(rng, 30)
+    docs = {}
+    for k in range(60):
+        own = sentence(rng, 21)
+        # Partners lie 60 numbers apart, each among strangers with the same line; every other one says the line once more before.
+        for d in (k, k + 60):
+            docs[d] = (line + " " + sentence(rng, 60) + " " if k % 2 else "") + sentence(rng, 30) + " " + line + " " + own + " " + sentence(rng, 30)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(7)
+    got = {(r["source_doc_id"], r["doc_id"]) for r in windows.repeated_passages(df).collect()}
+    assert got == {(k, k + 60) for k in range(60)}
+
+
 def test_repeated_passages_of_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert windows.repeated_passages(none).count() == 0 and windows.without_repeats(none).count() == 0
