@@ -238,6 +238,18 @@ def test_leaks_are_found_and_clean_documents_stay(spark, index_bytes):
     assert decontaminate.find_leaks(df, bench.limit(0)).count() == 0 and decontaminate.find_leaks(df.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("answer", ["Paris", "the Seine", "in the old town"])
+def test_short_answers_behind_a_label_are_leaks(spark, answer):
+    rng = random.Random(17)
+    question = sentence(rng, 10) + f" {answer} or " + sentence(rng, 9)
+    docs = {1: f"{sentence(rng, 80)} {question}\nAnswer: {answer} {sentence(rng, 80)}", 2: f"{sentence(rng, 80)} {question} {sentence(rng, 80)}",
+            3: f"{sentence(rng, 80)} {question}\n{answer} {sentence(rng, 80)}", 4: f"{sentence(rng, 80)} Answer: {answer}", 5: f"{question} Answer:\n{answer}"}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, f"{question}\n{answer}")], "item_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.find_leaks(df, bench).collect()} == {1, 3, 5}
+    assert {r["doc_id"] for r in decontaminate.without_leaks(df, bench).collect()} == {2, 4}
+
+
 def test_block_max_retrieval_equals_scoring_all():
     rng = np.random.default_rng(9)
     item = np.repeat(np.arange(20), 12)

@@ -8,7 +8,8 @@ that one threshold (``SHARE`` of the item's score) holds for all items. Retrieva
 2. The sum of the block's largest impacts over the passage's terms bounds each item's score; blocks below the threshold are skipped.
 3. The items of blocks that are left are scored exactly; all above the threshold are retrieved.
 
-Each is then verified: five-word shingles shared with the passage must cover ``OVERLAP`` of the words of the question and of the answer.
+Each is then verified: five-word shingles shared with the passage must cover ``OVERLAP`` of the words of the question and of the answer; a part of
+fewer words is one shingle by itself, so that a label or other words may stand between question and answer.
 Words are runs of letters and digits with A-Z folded, so marks glued to a word do not hide it. Passages are twice as long as the longest item and
 overlap by half, so that any copy lies whole in one.
 
@@ -199,29 +200,49 @@ def retrieve(words: Words, index: Index, stride: int) -> tuple[np.ndarray, np.nd
     return doc, words.first[doc] + (p - passage_first[doc]) * stride, item, score
 
 
-def _run_hashes(hashes: np.ndarray) -> np.ndarray:
-    size = min(SHINGLE, len(hashes))
-    out = np.zeros(len(hashes) - size + 1, np.uint64)
+def _run_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(max(0, len(hashes) - size + 1), np.uint64)
     for k in range(size):
         out = out * np.uint64(0x9FB21C651E98DF25) + hashes[k:k + len(out)]
         out ^= out >> np.uint64(29)
     return out
 
 
+def _spread(found: np.ndarray, size: int, n: int) -> np.ndarray:
+    """Which of n words lie in a found run of ``size`` words."""
+    covered = np.zeros(n, dtype=bool)
+    for k in range(size if len(found) else 0):
+        covered[k:k + len(found)] |= found
+    return covered
+
+
+def _covered(passage: np.ndarray, part: np.ndarray) -> np.ndarray:
+    size = min(SHINGLE, len(part))
+    return _spread(np.isin(_run_hashes(part, size), _run_hashes(passage, size)), size, len(part))
+
+
 def overlaps(passage: np.ndarray, item: np.ndarray, is_answer: np.ndarray) -> tuple[float, float]:
-    """Share of the words of question and answer that lie in shingles the passage has; an empty question counts as covered."""
-    size = min(SHINGLE, len(item))
-    if len(passage) < size or not size:
+    """Share of the words of question and answer that lie in shingles the passage has; an empty question counts as covered.
+
+    Shingles are of the item and of each part alone, shorter ones if that has fewer words. An answer shorter than a shingle may stand
+    anywhere in the passage but in the words of the question, which may name it without giving it.
+    """
+    if not len(item):
         return 0.0, 0.0
-    runs = _run_hashes(item)
-    window = passage if size == SHINGLE else passage
-    found = np.isin(runs, _run_hashes(window)) if size == SHINGLE else np.array(
-        [any(np.array_equal(item, passage[k:k + size]) for k in range(len(passage) - size + 1))])
-    covered = np.zeros(len(item), dtype=bool)
-    for k in range(size):
-        covered[k:k + len(runs)] |= found
-    question, answer = covered[~is_answer], covered[is_answer]
-    return float(question.mean()) if len(question) else 1.0, float(answer.mean()) if len(answer) else 1.0
+    covered = _covered(passage, item)
+    question, answer = item[~is_answer], item[is_answer]
+    of_question, of_answer = covered[~is_answer], covered[is_answer]
+    if len(question):
+        of_question = of_question | _covered(passage, question)
+    if len(answer) >= SHINGLE:
+        of_answer = of_answer | _covered(passage, answer)
+    elif len(answer) and len(question):
+        size = min(SHINGLE, len(question))
+        asked = _spread(np.isin(_run_hashes(passage, size), _run_hashes(question, size)), size, len(passage))
+        said = np.flatnonzero(_run_hashes(passage, len(answer)) == _run_hashes(answer, len(answer)))
+        if any(not asked[k:k + len(answer)].any() for k in said.tolist()):
+            of_answer = np.ones(len(answer), dtype=bool)
+    return float(of_question.mean()) if len(question) else 1.0, float(of_answer.mean()) if len(answer) else 1.0
 
 
 def _hits(texts: pa.Array, index: Index, stride: int):
