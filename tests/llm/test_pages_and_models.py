@@ -40,6 +40,15 @@ def test_main_text(spark):
     assert wrappers.main_text(df.limit(0)).count() == 0
 
 
+def test_pages_of_other_templates_keep_their_text(spark):
+    htmls = [page("One", "a"), "<body><nav>n</nav><main><p>main text</p></main><p>out</p></body>",
+             "<body><div class=content><p>named text</p></div><p>out</p></body>", "<body><nav>n</nav><p>plain text</p></body>"]
+    for url in ("http://shop.org/{}", None):
+        df = spark.createDataFrame([(k, url and url.format(k), h) for k, h in enumerate(htmls)], "page_id long, url string, html string")
+        got = {r["page_id"]: (r["text"], r["wrapped"]) for r in wrappers.main_text(df).collect()}
+        assert got == {0: ("One a", True), 1: ("main text", False), 2: ("named text", False), 3: ("plain text", False)}
+
+
 def test_wrappers_generalize():
     a = wrappers.fold(wrappers.skeleton("<div><h1>t</h1><p>1</p><p>2</p></div>"))
     b = wrappers.fold(wrappers.skeleton("<div><p>1</p><em>x</em></div>"))

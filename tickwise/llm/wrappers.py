@@ -7,8 +7,8 @@ one has once and the other several times becomes repeated. Text always is a slot
 page is aligned once; wrappers of parts of a host merge by the same alignment, first in groups and then all, so that no task
 sees all pages of a host.
 
-The slots of a wrapper say where a host keeps its article: under ``article``, else ``main`` or an element named like one, else
-everywhere but in parts that are never article text (menus, headers, footers, forms and so on).
+The slots of a wrapper say where a host may keep its articles: under ``article``, else ``main`` or an element named like one, else
+everywhere but in parts that are never article text (menus, headers, footers, forms and so on). Each page takes the first of these it has.
 """
 
 from __future__ import annotations
@@ -236,26 +236,31 @@ def _never(path: list[str]) -> bool:
     return False
 
 
-def article_slots(paths: set[str]) -> list[str]:
-    """Which of a host's text slots hold article text."""
-    fine = {p: p.split("/") for p in paths if not _never(p.split("/"))}
-    for wanted in (lambda s: s.rstrip("+-") == "article", lambda s: s.rstrip("+-") == "main", lambda s: s.endswith("+")):
+def article_slots(paths: set[str]) -> list[list[str]]:
+    """A host's text slots that may hold article text, in the order in which they are looked for: under article, else main, else named like one,
+    else the rest. A page takes the first of these that it has text in, so that pages of another template are not lost."""
+    fine = {p: p.split("/") for p in sorted(paths) if not _never(p.split("/"))}
+    tiers: list[list[str]] = []
+    for wanted in (lambda s: s.rstrip("+-") == "article", lambda s: s.rstrip("+-") == "main", lambda s: s.endswith("+"), lambda s: True):
         chosen = [p for p, tags in fine.items() if any(wanted(s) for s in tags)]
         if chosen:
-            return sorted(chosen)
-    return sorted(fine)
+            tiers.append(chosen)
+            fine = {p: tags for p, tags in fine.items() if p not in set(chosen)}
+    return tiers
 
 
-def extract(page: str, chosen: set[str]) -> tuple[str, bool]:
-    """The text of the slots in ``chosen``, blocks joined by a space; whether the page has any of these slots."""
+def extract(page: str, tier_of: dict[str, int]) -> tuple[str, bool]:
+    """The text of the page's slots of the least tier it has text in, blocks joined by a space; whether that is the host's first tier."""
     stack: list[str] = []
-    blocks: list[list[str]] = [[]]
-    path, fits = "", False
+    blocks: list[list[tuple[int, str]]] = [[]]
+    path, least = "", len(tier_of)
     for symbol, text in tokens(page):
         if symbol == "#":
-            if path in chosen:
-                blocks[-1].append(text)
-                fits = True
+            tier = tier_of.get(path)
+            if tier is not None:
+                blocks[-1].append((tier, text))
+                if tier < least and text.strip():
+                    least = tier
         elif symbol == "|":
             blocks.append([])
         elif symbol[1:].rstrip("+-") not in _INLINE:
@@ -266,8 +271,8 @@ def extract(page: str, chosen: set[str]) -> tuple[str, bool]:
                     pass
             path = "/".join(stack[:DEEPEST])
             blocks.append([])
-    words = (w for b in blocks if b for w in entities.unescape("".join(b)).split())
-    return " ".join(words), fits
+    words = (w for b in blocks if b for w in entities.unescape("".join(t for tier, t in b if tier == least)).split())
+    return " ".join(words), least == 0 and bool(tier_of)
 
 
 def _infer(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,15 +321,15 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
 
 def _extract(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    chosen_of: dict[str, set[str]] = {}
+    tiers_of: dict[str, dict[str, int]] = {}
     for some in rows:
         out = []
         for number, url, page, wrapper in zip(*(column(some, n).to_pylist() for n in ("page_id", "url", "html", "slots")), strict=True):
-            if wrapper not in chosen_of:
-                if len(chosen_of) > 10_000:
-                    chosen_of.clear()
-                chosen_of[wrapper] = set(json.loads(wrapper or "[]"))
-            text, fits = extract(page or "", chosen_of[wrapper])
+            if wrapper not in tiers_of:
+                if len(tiers_of) > 10_000:
+                    tiers_of.clear()
+                tiers_of[wrapper] = {p: k for k, paths in enumerate(json.loads(wrapper or "[]")) for p in paths}
+            text, fits = extract(page or "", tiers_of[wrapper])
             out.append((number, url, text, len(text), fits))
             if len(out) >= SLICE_PAGES:
                 yield batch(_TEXT, list(zip(*out, strict=True)))
@@ -334,7 +339,8 @@ def _extract(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars and wrapped (whether the page has slots of its host's article) for every row of pages (page_id, url, html).
+    """page_id, url, text, n_chars and wrapped (whether the page has text where its host's articles stand first of all, or else its text comes from
+    the next best slots it has) for every row of pages (page_id, url, html).
 
     Null or empty html gives empty text; a null or odd url belongs to the host without name; repeated rows give a row each; other
     columns are not read; an empty table gives an empty result.
