@@ -100,6 +100,21 @@ def test_toxicity_on_held_out_documents(spark):
     assert crf.score(docs.limit(0), crf.fit(docs.limit(0), labels)).count() == 0
 
 
+def test_no_feature_is_dropped_and_chains_are_drawn_by_all_words():
+    rng = np.random.default_rng(12)
+    keys = np.unique(rng.integers(0, 1 << 63, 60_000, dtype=np.uint64))
+    table = crf._table(keys, np.arange(len(keys)))
+    assert (crf._look(*table, keys, -1) == np.arange(len(keys))).all()
+    assert (crf._look(*table, keys[:90].reshape(30, 3) + np.uint64(1 << 20), -1) == -1).all()
+    import pyarrow as pa
+
+    texts = [f"same first {k}" for k in range(50)] + ["same first 7"]
+    rows = pa.RecordBatch.from_pydict({"text": texts, "toxic": [1] * 51})
+    known = np.unique(crf.word_features(crf.split(pa.array(["first"], pa.large_string()), pieces=True)))
+    draws = [d for b in crf._chains(iter([rows]), *crf._table(known, np.arange(len(known), dtype=np.int32))) for d in b.column(2).to_pylist()]
+    assert len(draws) == 51 and len(set(draws)) == 50 and draws[7] == draws[50]
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(1)
     emission, moves = rng.normal(size=(3, 5)), rng.normal(size=(2, 2))

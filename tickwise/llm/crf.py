@@ -86,18 +86,24 @@ def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(_COUNTS, [feature.view(np.int64), bad, good])
 
 
-def _table(keys: np.ndarray, values: np.ndarray, empty) -> tuple[np.ndarray, np.ndarray]:
-    """Values by the low bits of their key; of two keys with one slot the first stays."""
-    slot = (keys & np.uint64((1 << _SLOT_BITS) - 1)).astype(np.int64)
-    _, first = np.unique(slot, return_index=True)
-    known, held = np.zeros(1 << _SLOT_BITS, np.uint64), np.full(1 << _SLOT_BITS, empty, values.dtype)
-    known[slot[first]], held[slot[first]] = keys[first], values[first]
-    return known, held
+def _table(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and their values."""
+    order = np.argsort(keys, kind="stable")
+    return keys[order], values[order]
 
 
 def _look(known: np.ndarray, held: np.ndarray, found: np.ndarray, empty):
-    slot = (found & np.uint64((1 << _SLOT_BITS) - 1)).astype(np.int64)
-    return np.where(known[slot] == found, held[slot], empty)
+    """Values of ``found``, by binary search of those whose low bits some key has."""
+    low = np.uint64((1 << _SLOT_BITS) - 1)
+    taken = np.zeros(1 << _SLOT_BITS, dtype=bool)
+    taken[(known & low).astype(np.int64)] = True
+    out = np.full(found.shape, empty, held.dtype)
+    maybe = np.nonzero(taken[(found & low).astype(np.int64)])
+    if len(known) and len(maybe[0]):
+        wanted = found[maybe]
+        at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+        out[maybe] = np.where(known[at] == wanted, held[at], empty)
+    return out
 
 
 def _chains(rows: Iterator[pa.RecordBatch], known: np.ndarray, number: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -108,7 +114,10 @@ def _chains(rows: Iterator[pa.RecordBatch], known: np.ndarray, number: np.ndarra
         first, chain_of = _chain_starts(words.first)
         hit = np.concatenate([[0], np.cumsum((numbers >= 0).any(1))])
         hits = hit[first[1:]] - hit[first[:-1]]
-        draw = mix(words.hashes[first[:-1]] + np.uint64(17)).view(np.int64)
+        # Of all words in order, so that equal chains can be told and chains that begin alike cannot fill the sample.
+        place = np.arange(len(words.hashes)) - np.repeat(first[:-1], np.diff(first))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(words.hashes + mix(place.astype(np.uint64))))])
+        draw = mix(total[first[1:]] - total[first[:-1]] + np.uint64(17)).view(np.int64)
         # A sixteenth of the chains without any known word is plenty.
         for c in np.flatnonzero((hits > 0) | (draw % 16 == 0)).tolist():
             yield batch(_CHAINS, [[int(toxic[chain_of[c]])], [int(hits[c])], [int(draw[c])], [numbers[first[c]:first[c + 1]].tobytes()]])
@@ -242,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features: in
     totals = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     rate = (bad + 0.5) / (bad + good + 1)
-    nothing = _table(np.zeros(0, np.uint64), np.zeros(0), 0.0)
+    nothing = _table(np.zeros(0, np.uint64), np.zeros(0))
     dull = Model(*nothing, -9.0, np.zeros((2, 2)), np.array([0, 0, 0, np.log(rate / (1 - rate))]))
     if not bad or not good:
         return dull
@@ -257,11 +266,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features: in
         return dull
     keys, numbers = best["feature"].to_numpy(np.int64).view(np.uint64), np.arange(len(best), dtype=np.int32)
     clear = best["bound"].to_numpy() >= BOUND
-    table = _table(keys, numbers, -1)
+    table = _table(keys, numbers)
     sent = spark.sparkContext.broadcast(pickle.dumps(table, protocol=5))
     found = stored(train.mapInArrow(lambda it: _chains(it, *pickle.loads(sent.value)), "toxic long, hits long, draw long, features binary"), "chains")
     picked = [r for want in ("toxic = 1 and hits > 0", "toxic = 0 and hits > 0", "hits = 0")
-              for r in found.where(want).orderBy("draw").limit(chains // 3).select("toxic", "features").collect()]
+              for r in found.where(want).dropDuplicates(["toxic", "draw"]).orderBy("draw", "toxic").limit(chains // 3).select("toxic", "features").collect()]
     slots = 1 + len(BEGINNINGS)
     grid = np.full((len(picked), CHAIN, slots), -1, np.int32)
     real, mark = np.zeros((len(picked), CHAIN), dtype=bool), np.zeros((len(picked), CHAIN))
@@ -271,7 +280,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features: in
         if r["toxic"]:
             mark[k, :len(own)] = (clear[own] & (own >= 0)).any(1)
     weights, bias, moves = fit_chains(grid, mark, real, len(keys))
-    model = Model(*_table(keys, weights[:len(keys)], 0.0), bias, moves, dull.document)
+    model = Model(*_table(keys, weights[:len(keys)]), bias, moves, dull.document)
     sent_model = pickle.dumps(tuple(model), protocol=5)
     stats = train.mapInArrow(lambda it: _train_stats(it, sent_model), "toxic long, stats array<double>").toPandas()
     document = _logistic(np.stack(stats["stats"].to_numpy()), stats["toxic"].to_numpy().astype(float))
