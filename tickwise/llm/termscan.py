@@ -236,5 +236,5 @@ def search(docs: DataFrame, items: DataFrame, k: int = 20, item_bytes: int | Non
             results = best if results is None else results.unionByName(best)
         sent.destroy()
     if results is None:
-        return spark.createDataFrame([], items.select("item_id").schema.add("rank", "int").add("doc_id", "long").add("score", "long"))
+        return spark.createDataFrame([], items.select("item_id").schema.add("rank", "integer").add("doc_id", "long").add("score", "long"))
     return results
