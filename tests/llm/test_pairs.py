@@ -279,3 +279,22 @@ def test_block_max_retrieval_equals_scoring_all():
                     want[(a + 64 * k, i)] = s
     assert set(want) <= set(got) and all(abs(got[k] - want[k]) < 1e-6 for k in want)
     assert pa and all(v >= 0.6 - 1e-9 for v in got.values())
+
+
+def test_compact_windows_hold_every_stretch_in_spite_of_ties():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        sizes = rng.integers(0, 40, 3)
+        order, first = rng.integers(0, 4, sizes.sum()).astype(np.uint32), np.concatenate([[0], np.cumsum(sizes)])
+        found = list(zip(*windows.compact_windows(order, first, 5), strict=True))
+        for lo, hi in zip(first[:-1], first[1:], strict=True):
+            for a in range(lo, hi):
+                for b in range(a + 4, hi):
+                    held = [c for l, c, r in found if l <= a <= c <= b <= r]
+                    assert len(held) == 1 and order[held[0]] == order[a:b + 1].min()
+
+
+def test_compact_windows_of_one_word_said_again_and_again():
+    n = 200_000
+    l, c, r = windows.compact_windows(np.zeros(n, np.uint32), np.array([0, n]), 46)
+    assert len(c) < 3 * n // 46
