@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tickwise.functions import isolation as iso
 from tickwise.operators.series import CHUNK_ROWS, attach, percentile_per_key, split_hot
-from tickwise.session import checkpoint_folder, is_small, settle
+from tickwise.session import checkpoint_folder, is_small, keep, settle
 
 LOCAL_ROWS = 1_000_000
 LOCAL_ROWS_FEW = 20_000
@@ -53,7 +53,8 @@ class Settings:
     contamination: float = 0.01
     seed: int = 42
     max_samples: float = 1.0
-    max_depth: int = 10
+    # None: ceil(log2 n), grown and scored by ``deepforest``.
+    max_depth: int | None = 10
 
 
 @dataclass(frozen=True)
@@ -382,8 +383,17 @@ def _node_table(spark: SparkSession, trees: Sequence[iso.Trees]) -> DataFrame:
     return spark.createDataFrame(pa.Table.from_pandas(made, NODES_ARROW, preserve_index=False))
 
 
+def _deep():
+    """The module of full-depth forests, which builds on this one."""
+    from tickwise.operators import deepforest
+
+    return deepforest
+
+
 def fit_nodes(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (), settings: Settings = Settings()) -> DataFrame:
     """The node table of one forest per distinct ``keys`` (one forest in all, when there are none)."""
+    if settings.max_depth is None:
+        return _deep().fit_nodes(df, features, keys, settings)
     return _fit(df, features, keys, settings).nodes(df.sparkSession)
 
 
@@ -394,6 +404,8 @@ def add_scores(df: DataFrame, nodes: DataFrame, features: Sequence[str], n_trees
     each big model's rows split over several groups and its nodes copied to them.  A stream cannot be cogrouped: its nodes are
     always sent, and more than ``STREAM_NODES`` are an error.
     """
+    if "root" in nodes.columns:
+        return _deep().add_scores(df, nodes, features, n_trees, keys)
     if df.isStreaming and not is_small(nodes, STREAM_NODES):
         raise ValueError(f"a stream is scored against at most {STREAM_NODES} nodes; split the models over several streams")
     if df.isStreaming or is_small(nodes, NODE_BUDGET):
@@ -482,10 +494,14 @@ def flag(scored: DataFrame, limits: DataFrame, keys: Sequence[str]) -> DataFrame
 def fit(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (), settings: Settings = Settings()) -> Forest:
     """Fit once, on rows taken as normal, and fix the cutoff from their own scores."""
     features, keys, cfg = list(features), list(keys), settings
-    grown = _fit(df, features, keys, cfg)
-    nodes = grown.nodes(df.sparkSession)
-    scored = _score_grown(df.select(*keys, *features), grown, features, cfg, keys).persist()
-    limits = settle(cutoffs(scored, keys, cfg.contamination, hot=grown.hot()))
+    if cfg.max_depth is None:
+        nodes, hot = keep(fit_nodes(df, features, keys, cfg)), "check"
+        scored = settle(add_scores(df.select(*keys, *features), nodes, features, cfg.n_estimators, keys))
+    else:
+        grown = _fit(df, features, keys, cfg)
+        nodes, hot = grown.nodes(df.sparkSession), grown.hot()
+        scored = _score_grown(df.select(*keys, *features), grown, features, cfg, keys).persist()
+    limits = settle(cutoffs(scored, keys, cfg.contamination, hot=hot))
     moments = scored.withColumn(MODEL, model_name(keys)).groupBy(MODEL).agg(
         F.count(F.lit(1)).alias("n_train"),
         F.array(*[F.avg(f) for f in features]).alias("means"),
@@ -493,7 +509,7 @@ def fit(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (), settin
     meta = settle(moments.join(limits, MODEL).withColumns({
         "features": F.array(*[F.lit(f) for f in features]), "keys": F.array(*[F.lit(k) for k in keys]).cast("array<string>"),
         "n_estimators": F.lit(cfg.n_estimators), "contamination": F.lit(cfg.contamination), "seed": F.lit(cfg.seed),
-        "max_samples": F.lit(cfg.max_samples), "max_depth": F.lit(cfg.max_depth)}))
+        "max_samples": F.lit(cfg.max_samples), "max_depth": F.lit(cfg.max_depth).cast("int")}))
     scored.unpersist()
     return Forest(nodes, meta, tuple(features), cfg)
 
@@ -511,6 +527,8 @@ def detect(df: DataFrame, features: Sequence[str], keys: Sequence[str] = (), set
     cut at the percentile of those same scores.
     """
     features, keys, cfg = list(features), list(keys), settings
+    if cfg.max_depth is None:
+        return _deep().detect(df, features, keys, cfg)
 
     def detect_large(rows: DataFrame) -> DataFrame:
         grown = _fit(rows, features, keys, cfg)

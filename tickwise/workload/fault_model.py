@@ -163,6 +163,24 @@ def iforest_full(spark, folder):
     return forest.detect(_lines(spark, folder), MEASURES).select(*LINE_KEYS, r6("score"), "flagged")
 
 
+DEEP = forest.Settings(n_estimators=4, contamination=0.01, max_depth=None)
+# Deep enough for a million rows; each model stops at its own ceil(log2 n).
+DEEP_FOREST = f"with {LINES}, {forest_ctes('li', MEASURES, 'one', 4, 20)}"
+
+
+@query("iforest_deep_fit", f"{DEEP_FOREST} select {NODE_COLUMNS}, {CUT} from fo_nodes")
+def iforest_deep_fit(spark, folder):
+    """Every node of trees as deep as ceil(log2 n)."""
+    return _node_table(forest.fit_nodes(_lines(spark, folder), MEASURES, (), DEEP)).withColumn("node", F.col("node").cast("int"))
+
+
+@query("iforest_deep", f"""{DEEP_FOREST}, {flag_ctes('fo_scored', 0.01)}
+select {", ".join(LINE_KEYS)}, round(score, 6) as score, flagged from fl join li using (rid)""")
+def iforest_deep(spark, folder):
+    """Rows scored and flagged by trees of full depth."""
+    return forest.detect(_lines(spark, folder), MEASURES, (), DEEP).select(*LINE_KEYS, r6("score"), "flagged")
+
+
 DIMENSIONS = 64
 
 
