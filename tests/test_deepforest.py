@@ -32,13 +32,13 @@ def lowered(monkeypatch, part, top, **more):
 
 
 # Parts alone; parts below upper levels; levels split one at a time; all limits low.
-WAYS = [(50_000, 10, {}), (200, 5, {}), (40, 2, {}),
-        (100, 1, {"EXPLODED_ROWS": 3_000, "UPPER_NODES": 20, "BUCKET_NODES": 300, "BUCKET_ROWS": 500, "ROWS_AT_ONCE": 64})]
+WAYS = [(50_000, 10, {}), (200, 6, {}),
+        (250, 2, {"EXPLODED_ROWS": 3_500, "UPPER_NODES": 20, "BUCKET_NODES": 300, "BUCKET_ROWS": 500, "ROWS_AT_ONCE": 64})]
 
 
 @pytest.mark.parametrize("part,top,more", WAYS)
 def test_all_ways_give_the_dense_trees_and_scores(mixed, monkeypatch, part, top, more):
-    cfg = dict(n_estimators=6, contamination=0.05)
+    cfg = dict(n_estimators=3, contamination=0.05)
     dense = nodes_of(forest.fit_nodes(mixed, FEATURES, ["key"], Settings(max_depth=14, **cfg)))
     want = forest.detect(mixed, FEATURES, ["key"], Settings(max_depth=14, **cfg)).toPandas().set_index("id").sort_index()
     lowered(monkeypatch, part, top, **more)
@@ -51,7 +51,7 @@ def test_all_ways_give_the_dense_trees_and_scores(mixed, monkeypatch, part, top,
     assert (found["flagged"] == want["flagged"]).mean() > 0.998
 
 
-@pytest.mark.parametrize("part,top", [(50_000, 10), (40, 2)])
+@pytest.mark.parametrize("part,top", [(50_000, 10), (200, 6)])
 def test_fit_save_and_score_other_rows(spark, mixed, monkeypatch, tmp_path, part, top):
     lowered(monkeypatch, part, top)
     cfg = Settings(n_estimators=5, contamination=0.05, max_depth=None)
@@ -69,7 +69,7 @@ def test_fit_save_and_score_other_rows(spark, mixed, monkeypatch, tmp_path, part
     np.testing.assert_allclose(got["score"], want["score"], rtol=1e-8)
 
 
-@pytest.mark.parametrize("part,top", [(50_000, 10), (100, 2)])
+@pytest.mark.parametrize("part,top", [(50_000, 10), (200, 6)])
 def test_equal_rows_are_sampled_one_by_one(mixed, monkeypatch, part, top):
     lowered(monkeypatch, part, top)
     nodes = nodes_of(forest.fit_nodes(mixed, FEATURES, ["key"], Settings(n_estimators=20, max_samples=0.5, max_depth=None)))

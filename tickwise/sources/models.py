@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from tickwise.operators import deepforest
 from tickwise.operators.forest import MODEL, NODES_SCHEMA, Forest, Settings
 
 
@@ -18,8 +19,9 @@ def save_forest(forest: Forest, path: str) -> None:
 def load_forest(spark: SparkSession, path: str) -> Forest:
     """A forest that scores exactly as the one that was saved."""
     meta = spark.read.parquet(f"{path}/meta")
-    nodes = spark.read.schema(NODES_SCHEMA).parquet(f"{path}/nodes")
     first = meta.first()
+    schema = NODES_SCHEMA if first["max_depth"] is not None else deepforest.NODES_SCHEMA
+    nodes = spark.read.schema(schema).parquet(f"{path}/nodes")
     cfg = Settings(
         first["n_estimators"], first["contamination"], first["seed"], first["max_samples"], first["max_depth"])
     return Forest(nodes, meta, tuple(first["features"]), cfg)
