@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,10 @@ from pyspark.sql import functions as F
 
 from tickwise.session import checkpoint_folder
 
+# Bytes of rows that a Python worker gets at once while a table is stored. A batch lies in Arrow memory of the executor, grown in steps of
+# twice its size, and again in the worker, beside the heap; Spark's own bound is 64 MB a task.
+BATCH_BYTES = 8_000_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 # Tables up to this many bytes, as measured, are sent whole to every executor; larger ones are joined by shuffle.
 BROADCAST_BYTES = 64_000_000
 
@@ -20,11 +25,24 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Python workers get batches of BATCH_BYTES at most for jobs started inside; no row is left out, a longer one is a batch of its own."""
+    before = spark.conf.get(_BATCH_SETTING, None)
+    spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH_SETTING) if before is None else spark.conf.set(_BATCH_SETTING, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` computed once into Parquet in the shared folder, so that no later step depends on its executors."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    with small_batches(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def batch(schema: pa.Schema, columns: Sequence) -> pa.RecordBatch:
