@@ -196,3 +196,14 @@ def test_pipeline_stage_on_odd_rows(spark, tmp_path, name):
 def test_whole_pipeline(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001").toPandas()
     assert len(out) and (out.groupby("sequence_id")["length"].sum() <= 4096).all()
+
+
+def test_contradictory_labels_have_a_defined_meaning(spark):
+    docs = spark.createDataFrame([(k, ("good prose, said at length. " if k % 2 else "x# $$ ") * (k + 3)) for k in range(12)], "doc_id long, text string")
+    labels = [(k, k % 2, (k + 1) % 2) for k in range(12)]
+    plain = spark.createDataFrame(labels + [(1, 0, 1)], "doc_id long, quality long, toxic long").where("not (doc_id = 1 and quality = 1)")
+    twice = spark.createDataFrame([(1, 0, 1), *labels], "doc_id long, quality long, toxic long")
+    one, two = quality.fit(docs, plain), quality.fit(docs, twice)
+    assert one.rate == two.rate and (one.weights == two.weights).all()
+    first, second = crf.fit(docs, plain), crf.fit(docs, twice)
+    assert (first.document == second.document).all() and first.bias == second.bias

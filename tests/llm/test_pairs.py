@@ -298,3 +298,44 @@ def test_compact_windows_of_one_word_said_again_and_again():
     n = 200_000
     l, c, r = windows.compact_windows(np.zeros(n, np.uint32), np.array([0, n]), 46)
     assert len(c) < 3 * n // 46
+
+
+def test_several_indexes_are_held_one_at_a_time(spark):
+    rng = random.Random(23)
+    items = [(k, f"{sentence(rng, 12)}?\n{sentence(rng, 8)}") for k in range(30)]
+    docs = [(k, f"{sentence(rng, 40)} {items[k][1]} {sentence(rng, 40)}") for k in range(0, 30, 2)] + [(k, sentence(rng, 90)) for k in range(1, 30, 2)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    left = decontaminate.without_leaks(table, benchmark, index_bytes=1_500)
+    assert left._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(r["doc_id"] for r in left.collect()) == list(range(1, 30, 2))
+
+
+def test_top_k_of_components_beyond_64_bits_is_an_error(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e30, 2.0]), (2, [0.5, 0.25])]
+    vectors = topk.quantize(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(vectors, vectors.where("vec_id = 0")).collect()
+
+
+def test_top_k_takes_the_least_of_contradictory_queries(spark):
+    vectors = spark.createDataFrame([(1, [3, 0]), (2, [0, 3])], "vec_id long, components array<long>")
+    queries = spark.createDataFrame([(9, [5, 0]), (9, [0, 5])], "vec_id long, components array<long>")
+    assert [tuple(r) for r in topk.top_k(vectors, queries, 1).collect()] == [(9, 1, 2, 15)]
+
+
+def test_stored_tables_are_made_in_small_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    from tickwise.llm import frames
+
+    def sizes(rows):
+        for some in rows:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([some.num_rows], pa.int64())})
+
+    monkeypatch.setattr(frames, "BATCH_BYTES", 100_000)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    table = spark.range(900).repartition(2).select("id", F.repeat(F.lit("word "), 400).alias("text")).mapInArrow(sizes, "n long")
+    found = [r["n"] for r in frames.stored(table, "sizes").collect()]
+    assert sum(found) == 900 and max(found) <= 51
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == before

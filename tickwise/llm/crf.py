@@ -241,11 +241,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features: int = FEATURES, chains: int = TRAIN_CHAINS) -> Model:
     """Fit on the labelled rows (doc_id, toxic 0/1) that have a document: at most ``rows`` of them, by a hash of doc_id.
 
-    Null labels are not used. Without toxic or without clean rows the model knows no toxic word and gives every text the rate of the labels.
+    Null labels are not used; of labels that contradict each other the toxic one counts. Without toxic or without clean rows the model knows no toxic word and gives every text the rate of the labels.
     """
     spark = docs.sparkSession
-    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("long").alias("toxic")).dropDuplicates(["doc_id"])
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(
+        F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("long")).alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     train = stored(documents_view(docs).join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "toxic-train")
     totals = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}

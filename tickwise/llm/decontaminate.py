@@ -316,8 +316,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, inde
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """The rows of ``docs`` that hold no test item, with all their columns; documents stay in their tasks."""
-    schema = docs.schema
+    """The rows of ``docs`` that hold no test item, with all their columns; documents stay in their tasks.
+
+    Where the items need several indexes, what one of them leaves is stored before the next is sent, so that a task holds one at a time.
+    """
+    schema, last = docs.schema, None
     for sent, stride in _indexes(benchmark, share, index_bytes):
+        if last is not None:
+            docs = stored(docs, "unleaked")
+            last.unpersist()
+        last = sent
         docs = docs.mapInArrow(lambda it, sent=sent, stride=stride: _drop(it, sent.value, stride, arrow_schema(schema)), schema)
     return docs

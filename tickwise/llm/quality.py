@@ -116,10 +116,10 @@ class Classifier:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Classifier:
     """Fit on the labelled rows (doc_id, quality 0/1) that have a document: at most ``rows`` of them, by a hash of doc_id.
 
-    Null labels are not used; without rows of both kinds every document gets the rate of the labels.
+    Null labels are not used; of labels that contradict each other the lower one counts; without rows of both kinds every document gets the rate of the labels.
     """
-    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("long").alias("quality")).dropDuplicates(["doc_id"])
+    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(
+        F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("long")).alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     train = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "quality")
     found = train.mapInArrow(_train, "quality long, x array<double>").toPandas()
@@ -192,8 +192,8 @@ def judge(docs: DataFrame, labels: DataFrame, host: object = None, path: object
     h, p = free_name(docs.columns, "_host"), free_name(docs.columns, "_path")
     need = docs.select("doc_id", F.col("text").cast("string").alias("text"), host.cast("string").alias("host"), path.cast("string").alias("path"))
     own = stored(with_logit(need, model).drop("text"), "quality")
-    known = labels.where("quality is not null and doc_id is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label")).dropDuplicates(["doc_id"])
+    known = labels.where("quality is not null and doc_id is not null").groupBy(
+        F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("double")).alias("label"))
     soft = 1 / (1 + F.exp(-F.col("_quality_logit")))
     evidence = own.join(known, "doc_id", "left").select("host", "path", F.coalesce("label", soft).alias("evidence"))
     sites = stored(site_rates(evidence), "rates").select(F.col("host").alias(h), F.col("path").alias(p), "host_rate", "path_rate", "overall_rate")

@@ -37,11 +37,17 @@ def _matrix(lists: pa.Array) -> np.ndarray:
     return out
 
 
+def _largest(x: np.ndarray) -> float:
+    return max(float(x.max(initial=0)), -float(x.min(initial=0)))
+
+
 def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Exact integer products, by float arithmetic where no sum can leave its whole numbers."""
     dims = min(q.shape[1], x.shape[1])
     q, x = q[:, :dims], x[:, :dims]
-    top = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(dims, 1)
+    top = _largest(q) * _largest(x) * max(dims, 1)
+    if top >= 2 ** 63:
+        raise OverflowError("components are so large that a score may not fit in 64 bits")
     if top < 2 ** 53:
         kind = np.float32 if top < 2 ** 24 else np.float64
         return (q.astype(kind) @ x.astype(kind).T).astype(np.int64)
@@ -105,7 +111,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pass_bytes: int |
     """query_id, rank, vec_id, score: the k rows of ``vectors`` with the largest integer inner product with each query.
 
     Both tables have vec_id and components (see ``quantize``). Ties go to the smaller vec_id; a query never finds its own vec_id; of fewer rows
-    than k all are returned; repeated rows of ``vectors`` count each; shorter vectors are filled with zeros; empty
+    than k all are returned; repeated rows of ``vectors`` count each; of queries
+    with one vec_id the least vector counts; components too large for 64-bit scores are an error; shorter vectors are filled with zeros; empty
     tables give an empty result.
 
     Queries are taken in passes of bounded size, each sent to all executors, so that the data is read but never shuffled.
@@ -113,7 +120,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pass_bytes: int |
     """
     spark = vectors.sparkSession
     pass_bytes = PASS_BYTES if pass_bytes is None else pass_bytes
-    queries = stored(queries.select("vec_id", "components").dropDuplicates(["vec_id"]), "queries")
+    queries = stored(queries.groupBy("vec_id").agg(F.min("components").alias("components")), "queries")
     size, rows = queries.agg(F.sum(24 + 8 * F.size("components")), F.count("*")).first()
     passes = max(1, -(-(size or 0) // pass_bytes))
     found = None
