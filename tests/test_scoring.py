@@ -197,3 +197,15 @@ def test_one_long_window_among_many_short_ones(spark):
     assert got.count() == rows.count()
     assert got.where("truth").count() == sum(any(s == w and a <= t <= b for w, a, b in labels[(0 if s == "a" else 1 + t // 1000):][:2])
                                              for s in "ab" for t in range(0, 320_000, 7))
+
+
+def test_recordings_without_an_interval_are_not_called_clean(spark, clips):
+    readings, manifest = clips
+    still = spark.createDataFrame([(5, "P001", "_f", k, 7, 1.0) for k in range(6)], "sigid long, pmu string, suffix string, seq long, ts_ns long, value double")
+    with_still = readings.unionByName(still)
+    few = Settings(n_estimators=5)
+    with pytest.raises(ValueError, match="usable sampling interval"):
+        plan.run_validation(with_still, manifest, settings=few)
+    results, _ = plan.run_validation(with_still, manifest, settings=few, unusable="skip")
+    got = {r["sigid"]: r for r in results.collect()}
+    assert got[5]["n_channels_checked"] == 0 and got[4]["n_channels_checked"] == 2

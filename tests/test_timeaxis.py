@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tickwise.operators import features, series, timeaxis
+from tickwise.plans.site import feature_rows
 from tickwise.schema import SAMPLE_INTERVAL_NS
 
 START = 1_600_000_000_000_000_000
@@ -205,3 +206,27 @@ def test_series_without_an_interval_are_listed(spark):
     df = spark.createDataFrame([("one", 5, 0)] + [("same", 7, k) for k in range(5)] + [("fine", 10 * k, k) for k in range(5)], "k string, ts_ns long, seq long")
     freq = timeaxis.sample_interval(df, ["k"])
     assert {r["k"] for r in timeaxis.without_interval(df, ["k"], freq).collect()} == {"one", "same"}
+
+
+def test_series_without_an_interval_are_an_error_unless_skipped(spark):
+    df = spark.createDataFrame(
+        [("one", 5, 0, 1.0)] + [("same", 7, k, 1.0) for k in range(5)] + [("fine", 10 * k, k, float(k)) for k in range(30)],
+        "k string, ts_ns long, seq long, value double")
+    freq = timeaxis.sample_interval(df, ["k"])
+    with pytest.raises(ValueError, match="usable sampling interval"):
+        feature_rows(df, ["k"], "value", None, window=2, freq_ns=freq)
+    with pytest.raises(ValueError, match="usable sampling interval"):
+        timeaxis.regularize(df, ["k"], ["value"], freq_ns=freq)
+    kept = feature_rows(df, ["k"], "value", None, window=2, freq_ns=freq, unusable="skip")
+    assert {r["k"] for r in kept.select("k").distinct().collect()} == {"fine"}
+
+
+@pytest.mark.parametrize("share", [0.0, 0.25, 0.5, 1.0])
+def test_percentile_of_a_hot_key_over_the_whole_range_of_doubles(spark, share):
+    values = [-1.7e308, 1.7e308, 0.0, 3.5, -2.0, 1e300, -1e-310, 1e-310]
+    df = spark.createDataFrame([("a", v) for v in values], "k string, v double")
+    got = series.percentile_per_key(df, ["k"], "v", share, "p", chunk_rows=1).first()["p"]
+    ranked, rank = sorted(values), (len(values) - 1) * share
+    low, rest = int(rank), rank - int(rank)
+    want = ranked[low] * (1 - rest) + ranked[min(low + 1, len(values) - 1)] * rest
+    assert got == pytest.approx(want, rel=1e-9, abs=1e-309)

@@ -181,6 +181,12 @@ def running(
     return accumulate(short, plain).unionByName(done.drop("_pos", "_chunk"))
 
 
+def _between(low: Column, high: Column, share: Column) -> Column:
+    """Linear interpolation, also where the distance of two doubles is beyond any double."""
+    apart = high - low
+    return F.when(F.abs(apart) == float("inf"), low * (1 - share) + high * share).otherwise(low + apart * share)
+
+
 def percentile_per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -208,7 +214,7 @@ def percentile_per_key(
             "_rank", (F.count(F.lit(1)).over(whole) - 1) * F.lit(share))
         around = ranked.where(F.col("_i").isin(F.floor("_rank"), F.ceil("_rank")))
         low, high, rest = F.min("_v"), F.max("_v"), F.max(F.col("_rank") - F.floor("_rank"))
-        return around.groupBy(*keys).agg((low + (high - low) * rest).alias(name))
+        return around.groupBy(*keys).agg(_between(low, high, rest).alias(name))
 
     if hot is None:
         return direct(present)
@@ -225,7 +231,7 @@ def percentile_per_key(
 
     def between(d: DataFrame) -> DataFrame:
         low, high, rest = at("_low"), at("_high"), F.max(F.col("_rank") - F.col("_low"))
-        return d.groupBy(*keys).agg((low + (high - low) * rest).alias(name))
+        return d.groupBy(*keys).agg(_between(low, high, rest).alias(name))
 
     return between(total).unionByName(_narrowed(values, keys, share, name))
 
@@ -243,7 +249,10 @@ def _narrowed(values: DataFrame, keys: Sequence[str], share: float, name: str) -
     found = None
     while found is None or not state.isEmpty():
         inside = attach(values, state, keys).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-        scaled = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * PERCENTILE_BINS)
+        # Halved where the distance of the two ends is beyond any double.
+        unit = F.when(F.col("_hi") - F.col("_lo") == float("inf"), F.lit(0.5)).otherwise(F.lit(1.0))
+        low_end, high_end = F.col("_lo") * unit, F.col("_hi") * unit
+        scaled = F.floor((F.col("_v") * unit - low_end) / (high_end - low_end) * PERCENTILE_BINS)
         slot = F.when(F.col("_hi") > F.col("_lo"), F.least(scaled, F.lit(PERCENTILE_BINS - 1))).otherwise(F.lit(0))
         along = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
         bins = inside.withColumn("_slot", slot).groupBy(*keys, "_slot", "_skip", "_rank").agg(
@@ -260,7 +269,7 @@ def _narrowed(values: DataFrame, keys: Sequence[str], share: float, name: str) -
             at(low, F.col("_upto") - F.col("_c")).alias("_skip")))
         apart, single = F.col("_a") != F.col("_b"), F.col("_lo") == F.col("_hi")
         upper = F.when(apart, F.col("_next")).otherwise(F.col("_hi"))
-        answer = F.col("_hi") + (upper - F.col("_hi")) * (F.col("_rank") - low)
+        answer = _between(F.col("_hi"), upper, F.col("_rank") - low)
         ready = turn.where(apart | single).select(*keys, answer.alias(name))
         found = ready if found is None else found.unionByName(ready)
         state = turn.where(~(apart | single)).select(*keys, "_lo", "_hi", "_skip", "_rank")

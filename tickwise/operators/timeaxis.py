@@ -72,22 +72,30 @@ def sample_interval(
     return median.select(*keys, F.col("_median").cast("long").alias("freq_ns"))
 
 
-def grid_bounds(df: DataFrame, keys: Sequence[str], freq_ns: int | DataFrame = SAMPLE_INTERVAL_NS) -> DataFrame:
+def grid_bounds(
+    df: DataFrame, keys: Sequence[str], freq_ns: int | DataFrame = SAMPLE_INTERVAL_NS, unusable: str = "skip"
+) -> DataFrame:
     """One settled row per series: first time, grid step and number of cells.
 
-    ``freq_ns`` may be a table by all or some of the keys, for series sampled at different rates.
+    ``freq_ns`` may be a table by all or some of the keys, for series sampled at different rates.  A series without a
+    usable interval there (see ``without_interval``) has no row or, with ``unusable="raise"``, is an error.
     """
     span = df.groupBy(*keys).agg(F.min(TS).alias("t0"), F.max(TS).alias("_t1"))
     if isinstance(freq_ns, DataFrame):
-        span = span.join(freq_ns, [k for k in keys if k in freq_ns.columns])
+        span = span.join(freq_ns, [k for k in keys if k in freq_ns.columns], "left")
     else:
         if freq_ns < 1:
             raise ValueError("the grid step must be at least one nanosecond")
         span = span.withColumn("freq_ns", F.lit(freq_ns).cast("long"))
     # An interval of zero (most successive times equal) cannot carry a grid.
-    usable = span.where(F.col("freq_ns") >= 1)
-    cells = floor_div(F.col("_t1") - F.col("t0"), F.col("freq_ns")) + 1
-    return settle(usable.withColumn("n_cells", cells).drop("_t1"))
+    fine = F.coalesce(F.col("freq_ns"), F.lit(0)) >= 1
+    cells = F.when(fine, floor_div(F.col("_t1") - F.col("t0"), F.when(fine, F.col("freq_ns")))) + 1
+    every = settle(span.withColumn("n_cells", cells).drop("_t1"))
+    if unusable == "raise":
+        lost = [tuple(r) for r in every.where(~fine).select(*keys).limit(5).collect()]
+        if lost:
+            raise ValueError(f"series without a usable sampling interval, such as {lost}")
+    return every.where(fine)
 
 
 def without_interval(df: DataFrame, keys: Sequence[str], freq_ns: DataFrame) -> DataFrame:
@@ -155,7 +163,7 @@ def on_grid(
     """
     keys, size = list(keys), chunk_cells or CHUNK_CELLS
     cols = [*value_cols, *carried]
-    bounds = grid_bounds(df, keys, freq_ns) if bounds is None else bounds
+    bounds = grid_bounds(df, keys, freq_ns, "raise") if bounds is None else bounds
     frame = ["t0", "freq_ns", "n_cells"]
     near = nearest_cells(df, keys, bounds).select(*keys, CELL, "_dist", TS, SEQ, *cols, *frame)
     if dense:

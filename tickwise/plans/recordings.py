@@ -25,10 +25,19 @@ def recording_interval(readings: DataFrame) -> DataFrame:
     return settle(sample_interval(times, ["sigid"], order=(TS,)))
 
 
-def recording_rows(readings: DataFrame, window: int = 10, **sizes) -> DataFrame:
-    """Clean model rows of all channels, each recording on a grid of its own interval."""
-    return feature_rows(
-        readings, CHANNEL, "value", None, window=window, freq_ns=recording_interval(readings), **sizes)
+def recording_rows(readings: DataFrame, window: int = 10, freq_ns: DataFrame | None = None, **sizes) -> DataFrame:
+    """Clean model rows of all channels, each recording on a grid of its own interval.
+
+    A recording without a usable interval (a single time, or most times equal) is an error or, with
+    ``unusable="skip"``, has no rows.
+    """
+    freq_ns = recording_interval(readings) if freq_ns is None else freq_ns
+    return feature_rows(readings, CHANNEL, "value", None, window=window, freq_ns=freq_ns, **sizes)
+
+
+def _checked(readings: DataFrame, intervals: DataFrame) -> DataFrame:
+    """The channels that can be put on a grid; those of a recording skipped for its interval were not checked."""
+    return readings.select(*CHANNEL).distinct().join(intervals.where("freq_ns >= 1"), "sigid", "left_semi")
 
 
 def _verdicts(channels: DataFrame, flagged: DataFrame) -> DataFrame:
@@ -44,8 +53,9 @@ def channel_verdicts(
     """One verdict per selected channel, each judged by a model fitted on itself."""
     # Archives are opened once; everything else reads what was selected.
     chosen = keep(select_channels(readings, manifest))
-    channels = chosen.select(*CHANNEL).distinct()
-    rows = settle(recording_rows(chosen, window, **sizes))
+    intervals = recording_interval(chosen)
+    channels = _checked(chosen, intervals)
+    rows = settle(recording_rows(chosen, window, intervals, **sizes))
     usable = _usable(rows)
     found = forest.detect(rows.join(usable, list(CHANNEL), "left_semi"), FEATURES, CHANNEL, settings)
     return settle(_verdicts(channels, evaluate.channel_any(found, CHANNEL)))
@@ -83,8 +93,9 @@ def baseline_verdicts(
     """One verdict per channel with a baseline model, by that model's fixed cutoff."""
     modelled = baseline.meta.select(F.col(forest.MODEL).alias("suffix"))
     chosen = keep(covered_channels(select_channels(readings, manifest), modelled))
-    channels = chosen.select(*CHANNEL).distinct()
-    rows = settle(recording_rows(chosen, window, **sizes))
+    intervals = recording_interval(chosen)
+    channels = _checked(chosen, intervals)
+    rows = settle(recording_rows(chosen, window, intervals, **sizes))
     scored = forest.score(rows.join(_usable(rows), list(CHANNEL), "left_semi"), baseline, ["suffix"])
     return settle(_verdicts(channels, evaluate.channel_any(scored, CHANNEL)))
 

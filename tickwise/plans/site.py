@@ -44,12 +44,15 @@ def feature_rows(
     window: int = 10,
     freq_ns: int | DataFrame = SAMPLE_INTERVAL_NS,
     fill_limit: int = FILL_LIMIT,
+    unusable: str = "raise",
     hot="check",
     chunk_rows: int | None = None,
     chunk_cells: int | None = None,
 ) -> DataFrame:
     """Raw samples to clean model rows.
 
+    With a table of intervals, a series without a usable one is an error or, with ``unusable="skip"``, has no rows.
+
     Two shuffles of the data: one along each series to measure gaps and drop repeated times, one by (series, chunk of
     cells) for everything on the grid.  The measured samples are settled in between, as both the median gap and the grid
     are made from them.  Cells that cleaning would drop are never made.
@@ -69,7 +72,7 @@ def feature_rows(
     medians = settle(timeaxis.median_gap(measured, keys, hot=hot))
     once = attach(measured.where(~F.col("_again")).drop("_again"), medians, keys, "left")
     once = once.withColumn(GAP, F.coalesce(GAP, "median_gap_ms")).drop("median_gap_ms")
-    bounds = timeaxis.grid_bounds(df, keys, freq_ns)
+    bounds = timeaxis.grid_bounds(df, keys, freq_ns, unusable)
     gridded = timeaxis.on_grid(
         once, keys, cols, carried=[GAP], fill_limit=fill_limit, bounds=bounds, dense=False, chunk_cells=chunk_cells,
         then=features.rolling_step(target, window, by_cell=True), then_reach=features.reach_of(window))
