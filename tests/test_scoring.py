@@ -59,6 +59,18 @@ def test_many_windows_without_broadcast(spark, monkeypatch):
     assert wide == narrow == brute
 
 
+def test_windows_are_broadcast_by_their_copies(spark, monkeypatch):
+    many = [(f"s{k}", k * SECOND, (k + 90) * SECOND, "x", 0) for k in range(100)]
+    windows = spark.createDataFrame(many, "site string, start_ns long, end_ns long, fault_type string, ord int")
+    df = spark.createDataFrame([(f"s{k}", t * SECOND, t) for k in range(100) for t in range(0, 200, 9)], "site string, ts_ns long, seq long")
+    monkeypatch.setattr("tickwise.session.BROADCAST_ROWS", 150)
+    spread, _, small = evaluate.bucketed(windows)
+    assert not small and spread.count() <= 3 * len(many)
+    mask = evaluate.truth_mask(df, windows, ["site"])
+    assert "broadcast" not in mask._jdf.queryExecution().analyzed().toString()
+    assert mask.where("truth").count() == sum(k <= t <= k + 90 for k in range(100) for t in range(0, 200, 9)) and mask.count() == df.count()
+
+
 def test_rollup_keeps_empty_recordings(spark):
     channels = spark.createDataFrame(
         [(1, f"P00{i}_f", i < 2) for i in range(4)], "sigid long, channel string, any_flagged boolean")
