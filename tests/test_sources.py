@@ -2,11 +2,14 @@ import gzip
 import io
 import zipfile
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tickwise.sources import archives, channels, datasets, manifest
+from tickwise.workload import sources
 
 STEP = 8_333_333
 START = 1_600_000_000_000_000_000
@@ -141,3 +144,25 @@ def test_manifest_cohorts(spark):
     sample = manifest.holdout_sample(pool, table, 20)
     assert sample.count() == 20 and sample.join(table, "sigid").count() == 0
     assert sample.collect() == manifest.holdout_sample(pool.repartition(9), table, 20).collect()
+
+
+def test_many_small_archives_go_out_in_few_batches():
+    piece = pd.DataFrame({"Time": [0.0, 0.5], "P001_f ": [1.0, None], "P001_note": ["x", "2"]})
+    pieces = [archives._long(f"{k}.zip", "data.csv", piece) for k in range(20_000)]
+    made = list(archives._gathered(iter(pieces)))
+    assert len(made) == 4 and sum(b.num_rows for b in made) == 80_000
+    assert [list(r.values()) for r in made[0].slice(0, 4).to_pylist()] == [
+        ["0.zip", "data.csv", "P001_f", 0, 0.0, 1.0, None], ["0.zip", "data.csv", "P001_f", 1, 0.5, None, None],
+        ["0.zip", "data.csv", "P001_note", 0, 0.0, None, None], ["0.zip", "data.csv", "P001_note", 1, 0.5, 2.0, None]]
+
+
+def test_archives_are_packed_across_batches():
+    rows = pa.table({"user_id": [None, 1, 1, 1, 1, 2], "_part": [0, 0, 0, 0, 1, 0], "ts_ns": [5, 30, 10, 20, 7, 9],
+                     "value": [1.0, 2.0, 3.0, 4.0, None, 6.0], "channel": ["view", "click", "error", "view", "view", "odd"],
+                     "_odd": [False, False, False, True, False, False]})
+    for size in (1, 2, 4, 6):
+        made = [r for b in sources._pack(iter(rows.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+        assert [r["path"] for r in made] == ["nan/0.zip", "1/0.zip", "1/1.zip", "2/0.zip"]
+        found = [(name, list(map(str, row.dropna()))) for name, piece in archives._walk(made[1]["content"]) for _, row in piece.iterrows()]
+        assert found == [("data0.csv", ["1e-08", "inf"]), ("data0.csv", ["2e-08", "2.0"]), ("data1.csv", ["0.0", "3.0"])]
+        assert all(piece.empty for _, piece in archives._walk(made[3]["content"]))
