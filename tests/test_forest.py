@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,18 @@ def test_missing_training_features_are_an_error(spark, bad):
     df = spark.createDataFrame([(1.0, float(k)) for k in range(50)] + [(2.0, bad)], "x double, y double")
     with pytest.raises(Exception, match="feature y is NULL or NaN"):
         forest.detect(df, ["x", "y"]).collect()
+
+
+def test_small_models_share_batches_and_go_on_across_them():
+    names = ["a"] * 3 + ["b"] + ["c"] * 7 + ["\\N"] * 2
+    table = pa.table({"model": names, "x": list(range(len(names)))})
+    for size in (1, 2, 3, 5, 20):
+        found = []
+        for rows, first in forest._whole_models(iter(table.to_batches(max_chunksize=size))):
+            found += [rows.slice(a, b - a).column("x").to_pylist() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+        assert found == [[0, 1, 2], [3], [4, 5, 6, 7, 8, 9, 10], [11, 12]]
+    assert len(list(forest._whole_models(iter(table.to_batches())))) == 2
+    few = pa.table({"model": ["a", "a", "b", "b"], "x": [1.0, 2.0, 3.0, 5.0]}).to_batches()
+    rows, first = next(forest._whole_models(iter([*few, *few])))
+    nodes = list(forest._parts_of(t for _, t in forest._grown_in(rows, first, ["x"], forest.Settings(n_estimators=2, max_depth=2))))
+    assert len(nodes) == 1 and nodes[0].num_rows == 6 and set(nodes[0].column("model").to_pylist()) == {"a"}
