@@ -4,6 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tickwise.functions import isolation as iso
 from tickwise.operators import forest
 from tickwise.operators.forest import Settings
 from tickwise.sources import models
@@ -162,3 +163,53 @@ def test_small_models_share_batches_and_go_on_across_them():
     rows, first = next(forest._whole_models(iter([*few, *few])))
     nodes = list(forest._parts_of(t for _, t in forest._grown_in(rows, first, ["x"], forest.Settings(n_estimators=2, max_depth=2))))
     assert len(nodes) == 1 and nodes[0].num_rows == 6 and set(nodes[0].column("model").to_pylist()) == {"a"}
+
+
+def test_many_rows_walk_to_the_same_places(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = np.column_stack([rng.integers(0, 4, 3000), rng.normal(size=3000), rng.integers(0, 40, 3000) / 8]).astype(float)
+    grown = iso.grow_here(rows, "all", 7, 9, 42)
+    odd = rows.copy()
+    odd[:6] = [[np.nan, 0, 1], [np.inf, -np.inf, 1], [-np.inf, np.inf, np.nan], [0, -0.0, 0], [3, grown.threshold[0, 0], 2], [1, 1e300, -1e300]]
+    for trees in (100, 3):
+        monkeypatch.setattr(iso, "WALK_TREES", trees)
+        for depth in range(10):
+            feature, threshold = grown.feature[:, :2**depth - 1], grown.threshold[:, :2**depth - 1]
+            places = list(iso.Walker(feature, threshold, depth, 3).places(odd))
+            assert (np.array(places) == iso.descend(np.ascontiguousarray(odd.T), feature, threshold, depth)).all()
+    leaves = grown.path[:, grown.level(9)]
+    walked = iso.Walker(grown.feature, grown.threshold, 9, 3).path_sums(odd, leaves)
+    assert (walked == iso.path_sums(np.ascontiguousarray(odd.T), grown.feature, grown.threshold, leaves)).all()
+
+
+def test_ranges_widen_as_by_sorting():
+    rng = np.random.default_rng(6)
+    rows, place = rng.normal(size=(2000, 2)).round(1), rng.integers(0, 8, 2000)
+    low, high = np.full((2, 8), np.inf), np.full((2, 8), -np.inf)
+    low[:, 3], high[:, 3] = -np.inf, np.inf
+    for part in (slice(0, 300), slice(300, 301), slice(301, 2000)):
+        iso.widen(rows[part], np.ascontiguousarray(rows[part].T), place[part], low, high)
+    for k in range(8):
+        mine = rows[place == k]
+        assert k == 3 or (list(low[:, k]) == list(mine.min(axis=0)) and list(high[:, k]) == list(mine.max(axis=0)))
+    assert (low[:, 3] == -np.inf).all() and (high[:, 3] == np.inf).all()
+
+
+def test_cluster_growth_is_the_same_by_walker_and_step_by_step(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    data = [(f"m{k % 2}", float(v), float(k % 7)) for k, v in enumerate(rng.normal(size=4000))]
+    df = spark.createDataFrame(data, "site string, a double, b double").repartition(3)
+    monkeypatch.setattr(forest, "LOCAL_ROWS_FEW", 100)
+    monkeypatch.setattr(iso, "SORTED_PLACES", 4)
+    cfg = forest.Settings(n_estimators=5, max_depth=8)
+    found = []
+    for least in (10, 10**9):
+        monkeypatch.setattr(iso, "WALK_ROWS", least)
+        found.append(sorted(map(tuple, forest.detect(df, ["a", "b"], ["site"], cfg).collect())))
+    assert len(found[0]) == len(data) and found[0] == found[1]
+    plain = [iso.grow_here(np.array([r[1:] for r in data if r[0] == m]), m, 5, 8, 42) for m in ("m0", "m1")]
+    nodes = forest.fit_nodes(df, ["a", "b"], ["site"], cfg).toPandas()
+    assert len(nodes) == sum(int((t.active & (t.count > 0)).sum()) for t in plain)
+    for t, name in zip(plain, ("m0", "m1")):
+        mine = nodes[(nodes.model == name) & (nodes.feature >= 0)]
+        assert (t.threshold[mine.tree, mine.node] == mine.threshold).all()
