@@ -2,8 +2,10 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,6 +187,38 @@ def test_a_frequent_line_hides_no_shared_passage(spark):
     assert got == {(k, k + 60) for k in range(60)}
 
 
+def test_a_text_is_ranked_once_for_all_its_pairs_and_ids_decide_the_source(monkeypatch):
+    rng = random.Random(12)
+    shared = sentence(rng, 60)
+    hub = sentence(rng, 300) + " " + shared
+    partners = {d: sentence(rng, 10) + " " + shared for d in (1, 2, 8, 9)}
+    calls = []
+    plain = windows.ranked
+    monkeypatch.setattr(windows, "ranked", lambda s: calls.append(len(s)) or plain(s))
+    rows = pa.record_batch({"stay": [5] * 4, "sent": list(partners), "text_stay": [hub] * 4, "text_sent": list(partners.values())})
+    got = [r for some in windows._verify(iter([rows])) for r in some.to_pylist()]
+    assert calls.count(len(hub.split()) - 4) == 1 and len(calls) == 5
+    assert {(r["source_doc_id"], r["doc_id"], r["first_word"], r["end_word"]) for r in got} == {
+        (1, 5, 300, 360), (2, 5, 300, 360), (5, 8, 10, 70), (5, 9, 10, 70)}
+
+
+def test_pairs_of_many_windows_take_memory_by_their_windows():
+    n = 3_000
+    boxes = np.repeat(np.arange(n)[:, None] * 100, 4, 1) + np.array([0, 50, 0, 50])
+    tracemalloc.start()
+    assert not windows.windows_overlap(np.array([0, n]), np.arange(n) % 6, boxes).any()
+    assert tracemalloc.get_traced_memory()[1] < 2_000_000
+    tracemalloc.stop()
+    boxes[-1] = boxes[0]
+    assert windows.windows_overlap(np.array([0, n]), np.arange(n) % 6, boxes).all()
+
+
+def test_windows_travel_in_four_numbers():
+    big = 70_000
+    got = list(windows._sent(np.array([7], np.uint64), np.array([3]), np.array([big]), np.array([big + 5]), np.array([big + 90]), 2))[0].to_pylist()
+    assert [(r["doc_id"], r["spot"] >> 32, r["spot"] & 0xFFFFFFFF, r["reach"] >> 1, r["reach"] & 1) for r in got] == [(3, big, big + 5, big + 90, 0)]
+
+
 def test_repeated_passages_of_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert windows.repeated_passages(none).count() == 0 and windows.without_repeats(none).count() == 0
