@@ -187,6 +187,21 @@ def test_a_frequent_line_hides_no_shared_passage(spark):
     assert got == {(k, k + 60) for k in range(60)}
 
 
+def test_a_changed_passage_in_a_large_group_finds_its_partner(spark):
+    rng = random.Random(9)
+    base = sentence(rng, 300).split()
+
+    def version(d, every, phase):
+        return " ".join(f"x{d}y{k}" if k % every == phase else w for k, w in enumerate(base))
+
+    # All runs of 20 shingles of the passage are in many strangers, which are too different from it as a whole.
+    docs = {d: version(d, 28, d % 28) for d in range(124)}
+    docs[60], docs[124] = " ".join(base), version(124, 48, 47)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    got = {r["source_doc_id"]: r["end_word"] - r["first_word"] for r in windows.repeated_passages(df).collect() if r["doc_id"] == 124}
+    assert got.get(60, 0) > 280
+
+
 def test_a_text_is_ranked_once_for_all_its_pairs_and_ids_decide_the_source(monkeypatch):
     rng = random.Random(12)
     shared = sentence(rng, 60)
