@@ -388,3 +388,52 @@ def test_stored_tables_are_made_in_small_batches(spark, monkeypatch):
     found = [r["n"] for r in frames.stored(table, "sizes").collect()]
     assert sum(found) == 900 and max(found) <= 51
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == before
+
+
+def test_pairs_that_the_ties_leave_out_are_met_in_blocks(spark, monkeypatch):
+    rng = random.Random(21)
+    line, parts = sentence(rng, 30), [sentence(rng, 60) for _ in range(6)]
+    # Each document says the frequent line and two of six passages, so all pairs are alike in part only.
+    docs = {d: f"{parts[d % 6]} {line} {sentence(rng, 15)} {parts[(d * 5 + d // 6) % 6]}" for d in range(70)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+
+    def found():
+        return sorted(tuple(r) for r in windows.repeated_passages(df).collect())
+
+    plain = found()
+    rest = windows._rest
+
+    def by_all_pairs(view, docs, spots, passages, pairs, all_words):
+        """Each pair that the ties leave out, verified by itself."""
+        every = docs.select(F.col("doc_id").alias("a")).join(docs.select(F.col("doc_id").alias("b")), F.col("a") < F.col("b"))
+        left = every.join(pairs, ["a", "b"], "left_anti").join(
+            docs.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
+        out = []
+        for r in left.collect():
+            one, two = (windows.ranked(windows.shingles(windows.split(windows.strings(pa.array([t]))), windows.SHINGLE)[0]) for t in (r["x"], r["y"]))
+            out += [(r["b"], x, y + 4, r["a"], i, j + 4, s) for i, j, x, y, s in windows.shared_passages(one, two)]
+        return spark.createDataFrame(out, windows.PASSAGE_TYPE) if out else rest(view, docs, spots, passages, pairs, all_words).limit(0)
+
+    monkeypatch.setattr(windows, "TILE", 4)
+    monkeypatch.setattr(windows, "TILE_WORDS", 700)
+    monkeypatch.setattr(windows, "TILE_SENT", 8)
+    monkeypatch.setattr(windows, "ROUND", 1)
+    assert found() == plain
+    monkeypatch.setattr(windows, "_rest", by_all_pairs)
+    assert {r[:2] for r in found()} >= {r[:2] for r in plain} and set(plain) <= set(found())
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    import glob
+    import os
+
+    from tickwise import session
+    from tickwise.llm import frames
+
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in local for f in glob.glob(os.path.join(d, "**", "shuffle_*"), recursive=True)}
+    for store in (lambda df: frames.stored(df, "spread"), session.keep):
+        before = files()
+        table = store(spark.range(5_000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count())
+        assert not files() - before and table.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
