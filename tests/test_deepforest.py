@@ -84,3 +84,19 @@ def test_equal_rows_are_sampled_one_by_one(mixed, monkeypatch, part, top):
 def test_no_rows_and_constant_rows(spark, mixed):
     assert forest.detect(mixed.where("key = 'flat'"), FEATURES, ["key"], Settings(n_estimators=4, max_depth=None)).where("flagged").count() == 0
     assert forest.fit_nodes(mixed.where("false"), FEATURES, ["key"], Settings(n_estimators=4, max_depth=None)).count() == 0
+
+
+def test_rows_of_trees_that_are_done_leave_the_disk(spark, mixed, monkeypatch):
+    import glob
+
+    from tickwise.session import checkpoint_folder
+
+    lowered(monkeypatch, 250, 2, EXPLODED_ROWS=3_500)
+    folder = checkpoint_folder(spark).removeprefix("file:")
+    schemas = lambda: {p: spark.read.parquet(p).columns for p in glob.glob(f"{folder}/**/kept-*", recursive=True)}
+    before = schemas()
+    found = forest.detect(mixed, FEATURES, ["key"], Settings(n_estimators=3, max_depth=None))
+    assert found.count() == mixed.count()
+    # No table of rows by tree is left, only the rows once, nodes and sums.
+    left = [columns for path, columns in schemas().items() if path not in before]
+    assert left and not [c for c in left if "tree" in c and "_x0" in c] and not glob.glob(f"{folder}/passing-*")
